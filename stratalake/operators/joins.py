@@ -1,10 +1,11 @@
 """Joins of a large table with a lookup, safe when one key holds a large share of the rows.
 
 ``lookup_join`` is the one many-to-one join of the library. Small inputs take an ordinary join
-and leave the strategy to Catalyst. Above a checked input size it finds the keys that would
-overfill a shuffle partition in one map-side pass (``approx_top_k``), spreads only those over as
-many salts as their share calls for, and repeats only their lookup rows. Every row takes part in
-exactly one key/salt combination, so the result does not depend on which keys were found.
+and leave the strategy to Catalyst. Above a checked input size it first looks for keys that would
+overfill a shuffle partition, in one map-side pass (``approx_top_k``). If there are any, only
+those are spread over as many salts as their share calls for, and only their lookup rows are
+repeated. Every row takes part in exactly one key/salt combination, so the result does not depend
+on which keys were found.
 """
 
 from __future__ import annotations
@@ -42,25 +43,29 @@ def _broadcast_limit(spark: SparkSession) -> int:
     return int(digits) if digits.lstrip("-").isdigit() else 10 << 20
 
 
-def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
     """Hashes of the keys that fill two shuffle partitions or more, with their salt count.
 
-    One pass over the key columns; each task sends one fixed-size sketch, and the result has at
-    most ``MAX_HOT_KEYS`` rows.
+    Runs one pass over the key columns, in which each task sends one fixed-size sketch. The at
+    most ``MAX_HOT_KEYS`` rows found are fixed on the driver: both sides of the join must salt by
+    the same list, and a sketch merged twice need not give the same answer. None if no key is hot.
     """
-    width = shuffle_width(df.sparkSession)
-    counted = df.select(F.xxhash64(*keys).alias("_h")).agg(
-        F.expr(f"approx_top_k(_h, {MAX_HOT_KEYS}, {TRACKED_ITEMS})").alias("top"),
-        F.count(F.lit(1)).alias("total"),
-    )
-    share = F.col("count") / F.col("total")
-    return (
-        counted.select("total", F.inline("top"))
-        .filter(share * width >= 2)
-        .select(
-            F.col("item").alias("_h"), F.ceil(share * width * 2).cast("int").alias("_salts")
+    spark = df.sparkSession
+    width = shuffle_width(spark)
+    found = (
+        df.select(F.xxhash64(*keys).alias("_h"))
+        .agg(
+            F.expr(f"approx_top_k(_h, {MAX_HOT_KEYS}, {TRACKED_ITEMS})").alias("top"),
+            F.count(F.lit(1)).alias("total"),
         )
-    )
+        .select("total", F.inline("top"))
+        .withColumn("share", F.col("count") / F.col("total"))
+        .filter(F.col("share") * width >= 2)
+        .select("item", F.ceil(F.col("share") * width * 2).cast("int").alias("salts"))
+    ).collect()
+    if not found:
+        return None
+    return spark.createDataFrame([(r.item, r.salts) for r in found], "_h long, _salts int")
 
 
 def _salt(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
@@ -112,7 +117,8 @@ def lookup_join(
     """Join ``fact`` to a lookup on equal keys; ``how`` is inner, left, left_semi or left_anti.
 
     ``within`` is an extra condition over both sides (their other column names must differ).
-    ``check_over`` is the input size in bytes above which hot keys are looked for.
+    ``check_over`` is the input size in bytes above which hot keys are looked for, by a job that
+    runs when this function is called.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     check_over = SKEW_CHECK_BYTES if check_over is None else check_over
@@ -121,6 +127,8 @@ def lookup_join(
     if input_bytes(fact) <= check_over or (small_lookup and check_over > 0):
         return _join(fact, lookup, keys, how, within)
     hot = hot_keys(fact, keys)
+    if hot is None:
+        return _join(fact, lookup, keys, how, within)
     salted = _join(
         _salt(fact, keys, hot), _repeat(lookup, keys, hot), keys + ["_salt"], how, within
     )
