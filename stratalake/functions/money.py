@@ -1,10 +1,13 @@
 """Money and ratios.
 
-Amounts carry two decimals. Summing them as whole cents in a long is exact, does not depend on
-the order in which tasks finish, and stays in the fast path of hash aggregation; a
-``sum(decimal(12,2))`` would need a 22-digit buffer. Results become doubles at the very end.
+Amounts have two decimals and are doubles once cleaned. They are never summed as doubles, whose
+total depends on the order in which tasks finish: they are summed as whole cents in a long, which
+is exact and stays in generated code, while a ``sum(decimal(12,2))`` needs a 22-digit buffer and
+an object per row.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 RATIO_DIGITS = "decimal(20,0)"
@@ -41,5 +44,10 @@ def rate(numerator: str | Column, denominator: str | Column) -> Column:
 
 
 def round_money(amount: str | Column) -> Column:
-    """Two-decimal double of an exact decimal amount."""
-    return F.round(amount, 2).cast("double")
+    """The double nearest to the amount's whole cents."""
+    return from_cents(cents(amount))
+
+
+def add_money(*amounts: str | Column) -> Column:
+    """Sum of amounts in one row, free of binary noise; NULL if any is."""
+    return from_cents(reduce(lambda a, b: a + b, [cents(a) for a in amounts]))

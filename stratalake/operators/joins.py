@@ -23,11 +23,11 @@ TRACKED_ITEMS = 8192
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Sum of the sizes of the plan's leaf relations; planning only, nothing runs.
+    """Sum of the sizes of the plan's leaf relations; nothing is optimised or run.
 
     Leaves of unknown size report a huge value, so callers treat them as large.
     """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 

@@ -1,15 +1,14 @@
-"""Cleaned dimensions and facts from the raw tables. Money stays decimal here."""
+"""Cleaned dimensions and facts from the raw tables. Money becomes double here."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from stratalake.functions import days_between, is_delivered, norm_city, norm_state
+from stratalake.functions import add_money, days_between, is_delivered, norm_city, norm_state
 from stratalake.operators.aggregates import centroid
 from stratalake.operators.dedup import first_per_key, latest_per_key
 from stratalake.operators.joins import with_category
 
-MONEY = "decimal(12,2)"
 LOAD_COLUMNS = ["_ingest_ts", "_batch_id"]
 
 CUSTOMER_TRACKED = [
@@ -157,16 +156,15 @@ def fct_orders(orders: DataFrame) -> DataFrame:
 
 
 def fct_order_items(items: DataFrame) -> DataFrame:
-    price, freight = F.col("price").cast(MONEY), F.col("freight_value").cast(MONEY)
     return items.select(
         "order_id",
         F.col("order_item_id").cast("int").alias("order_item_id"),
         "product_id",
         "seller_id",
         F.col("shipping_limit_date").cast("timestamp").alias("shipping_limit_date"),
-        price.alias("price"),
-        freight.alias("freight_value"),
-        (price + freight).alias("total_item_value"),
+        F.col("price").cast("double").alias("price"),
+        F.col("freight_value").cast("double").alias("freight_value"),
+        add_money("price", "freight_value").alias("total_item_value"),
         *LOAD_COLUMNS,
     )
 
@@ -177,7 +175,7 @@ def fct_payments(payments: DataFrame) -> DataFrame:
         F.col("payment_sequential").cast("int").alias("payment_sequential"),
         "payment_type",
         F.col("payment_installments").cast("int").alias("payment_installments"),
-        F.col("payment_value").cast(MONEY).alias("payment_value"),
+        F.col("payment_value").cast("double").alias("payment_value"),
         *LOAD_COLUMNS,
     )
 

@@ -14,23 +14,60 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stratalake.plans import marts, silver
 from stratalake.sources.specs import PAYMENT_TYPES
 
-MONEY = "decimal(12,2)"
+
+# Columns of the test tables. Given to the reader, they save a job per table that looks for them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": """c_custkey long, c_name string, c_nationkey int, c_acctbal double,
+        c_mktsegment string""",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": """p_partkey long, p_name string, p_brand string, p_type string, p_size int,
+        p_retailprice double""",
+    "orders": """o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+        l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+    "events": """event_id long, ts timestamp_ntz, user_id long, event_type string,
+        value double, props string""",
+}
 FIRST_LOAD = "2024-01-01 00:00:00"
 SECOND_LOAD = "2024-01-02 00:00:00"
 FIRST_RUN = "1990-01-01 00:00:00"
 SECOND_RUN = "1998-01-01 00:00:00"
 
 
-def _loaded(df: DataFrame, at: str = SECOND_LOAD, batch: str = "b2") -> DataFrame:
+def _loaded(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
-            "_ingest_ts": F.lit(at).cast("timestamp"),
+            "_ingest_ts": F.lit(SECOND_LOAD).cast("timestamp"),
             "_source_file": F.lit("landing"),
-            "_batch_id": F.lit(batch),
+            "_batch_id": F.lit("b2"),
         }
     )
 
 
+def _loaded_twice(df: DataFrame, column: str, older_value) -> DataFrame:
+    """Each row as two ingests delivered it; the earlier copy differs in one column."""
+    copies = F.array(
+        *[
+            F.struct(
+                value.alias(column),
+                F.lit(at).cast("timestamp").alias("_ingest_ts"),
+                F.lit("landing").alias("_source_file"),
+                F.lit(batch).alias("_batch_id"),
+            )
+            for value, at, batch in [
+                (F.col(column), SECOND_LOAD, "b2"),
+                (F.lit(older_value), FIRST_LOAD, "b1"),
+            ]
+        ]
+    )
+    kept = [c for c in df.columns if c != column]
+    return df.select(*kept, F.inline(copies))
+
+
 def _days_after(day, n):
     return F.date_add(day, n.cast("int")).cast("timestamp")
 
@@ -40,9 +77,13 @@ class Roles:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            reader = self.spark.read.schema(SCHEMAS[name])
+            self._tables[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     # --- raw roles ---
 
@@ -80,8 +121,8 @@ class Roles:
                 F.col("l_partkey").alias("product_id"),
                 F.col("l_suppkey").alias("seller_id"),
                 F.col("l_shipdate").cast("timestamp").alias("shipping_limit_date"),
-                F.col("l_extendedprice").cast(MONEY).alias("price"),
-                F.col("l_quantity").cast(MONEY).alias("freight_value"),
+                F.col("l_extendedprice").alias("price"),
+                F.col("l_quantity").alias("freight_value"),
             )
         )
 
@@ -94,7 +135,7 @@ class Roles:
                 F.col("l_linenumber").alias("payment_sequential"),
                 F.get(kinds, (F.col("l_partkey") % 5).cast("int")).alias("payment_type"),
                 (F.col("l_suppkey") % 12 + 1).cast("int").alias("payment_installments"),
-                F.col("l_extendedprice").cast(MONEY).alias("payment_value"),
+                F.col("l_extendedprice").alias("payment_value"),
             )
         )
 
@@ -111,8 +152,7 @@ class Roles:
             F.concat(F.lit("  "), "r_name", F.lit(" ")).alias("customer_city"),
             F.concat(F.lit(" "), F.lower("n_name")).alias("customer_state"),
         )
-        older = base.withColumn("customer_city", F.lit("moved away"))
-        return _loaded(base).unionByName(_loaded(older, FIRST_LOAD, "b1"))
+        return _loaded_twice(base, "customer_city", "moved away")
 
     @cached_property
     def sellers(self) -> DataFrame:
@@ -171,8 +211,7 @@ class Roles:
             F.col("ts").cast("timestamp").alias("review_creation_date"),
             _days_after(F.col("ts").cast("date"), key % 9).alias("review_answer_timestamp"),
         )
-        older = base.withColumn("review_score", F.lit(1))
-        return _loaded(base).unionByName(_loaded(older, FIRST_LOAD, "b1"))
+        return _loaded_twice(base, "review_score", 1)
 
     @cached_property
     def geolocation(self) -> DataFrame:

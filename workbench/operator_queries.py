@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from stratalake.functions import (
+    add_money,
     any_changed,
     cents,
     changed,
@@ -16,7 +17,6 @@ from stratalake.functions import (
     or_unknown,
     order_day,
     rate,
-    round_money,
     safe_ratio,
     scd_id,
     weekday_name,
@@ -631,7 +631,7 @@ query(
     lambda t: t.items.select(
         "order_id",
         "order_item_id",
-        round_money(F.col("price") + F.col("freight_value")).alias("total_item_value"),
+        add_money("price", "freight_value").alias("total_item_value"),
         rate(cents("price"), cents("freight_value")).alias("price_per_freight"),
         safe_ratio(cents("price"), F.col("order_item_id") * 100, 2).alias("price_per_item"),
     )

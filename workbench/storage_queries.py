@@ -22,7 +22,7 @@ from stratalake.sources.csv_files import (
 )
 from stratalake.sources.ingest import Batch, ingest
 from stratalake.sources.registry import Registry, list_files
-from stratalake.sources.specs import SOURCES_BY_TABLE
+from stratalake.sources.specs import MONEY, SOURCES, SOURCES_BY_TABLE
 from stratalake.streaming.files import ingest_stream, run_available_now, stream_files
 from workbench.bindings import FIRST_RUN, SECOND_RUN, Roles, money_sql, with_roles
 from workbench.history_queries import (
@@ -36,6 +36,8 @@ from workbench.registry import query
 
 BATCH = Batch(datetime.datetime(2024, 1, 2, tzinfo=datetime.timezone.utc), "b2")
 
+MONEY_COLUMNS = {c for spec in SOURCES for c, kind in spec.casts.items() if kind == MONEY}
+
 
 def fresh_layout(t: Roles) -> Layout:
     token = uuid.uuid4().hex
@@ -44,13 +46,19 @@ def fresh_layout(t: Roles) -> Layout:
     return layout
 
 
+def _text(df: DataFrame, column: str):
+    """Money as plain digits; a double may print in scientific notation."""
+    kind = MONEY if column in MONEY_COLUMNS else "string"
+    return F.col(column).cast(kind).cast("string")
+
+
 def land(df: DataFrame, folder: str, table: str) -> None:
     """Write a role as the CSV files its source would deliver."""
     spec = SOURCES_BY_TABLE[table]
     back = {new: old for old, new in spec.renames.items()}
     names = [back.get(c, c) for c in spec.columns]
     renamed = df.withColumnsRenamed(back).select(*names)
-    text = renamed.select(*[F.col(c).cast("string").alias(c) for c in names])
+    text = renamed.select(*[_text(renamed, c).alias(c) for c in names])
     stem = spec.pattern.replace(".csv", "").strip("*")
     (
         text.write.mode("append")
