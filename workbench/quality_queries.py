@@ -20,7 +20,8 @@ _PAYMENTS = "(SELECT *, payment_cents AS payment_value FROM b_payments)"
 _GEO = """(SELECT c_nationkey AS geolocation_zip_code_prefix, c_acctbal AS geolocation_lat,
     c_acctbal AS geolocation_lng, c_mktsegment AS geolocation_city, n_name AS geolocation_state
     FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)"""
-_TRANSLATION = "(SELECT DISTINCT p_type AS product_category_name FROM part WHERE p_type <> 'PROMO')"
+_TRANSLATION = """(SELECT DISTINCT p_type AS product_category_name,
+    lower(p_type) AS product_category_name_english FROM part WHERE p_type <> 'PROMO')"""
 
 RELATIONS = {
     "orders": "b_orders",
