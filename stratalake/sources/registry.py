@@ -6,6 +6,8 @@ new. A row is written only after its load succeeded: a load that failed is tried
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from stratalake.config import Layout
@@ -24,6 +26,9 @@ REGISTRY_SCHEMA = T.StructType(
     ]
 )
 
+# Loads that run at the same time in one driver take turns.
+_WRITER = threading.Lock()
+
 
 def list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     """Path, size and modification time of the files; contents are not read."""
@@ -62,5 +67,6 @@ class Registry:
 
     def record(self, loads: DataFrame) -> None:
         """Upsert one row per (file, table) after a successful load."""
-        merged = upsert(self.table(), loads, ["source_file", "table_name"])
-        replace_table(merged.select(*REGISTRY_SCHEMA.fieldNames()), self.name, self.path)
+        with _WRITER:
+            merged = upsert(self.table(), loads, ["source_file", "table_name"])
+            replace_table(merged.select(*REGISTRY_SCHEMA.fieldNames()), self.name, self.path)
