@@ -9,14 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 LAYERS = ("bronze", "silver", "gold")
 
-# Settings for a cluster session. Shuffle partitions are only the starting point: AQE merges
-# small ones, so the value is set high enough that no partition of the largest shuffle spills.
+# Settings for a cluster session. The number of shuffle partitions is not among them, as it has
+# to follow the data: see ``sizing.fit_shuffles``.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.cbo.enabled": "true",
 }
 

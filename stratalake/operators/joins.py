@@ -10,9 +10,10 @@ on which keys were found.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stratalake.functions import spread_hash
+from stratalake.sizing import broadcast_limit, input_bytes, shuffle_width
 
 # Below this many input bytes even a key with a third of all rows is a normal task.
 SKEW_CHECK_BYTES = 8 << 30
@@ -22,27 +23,6 @@ MAX_HOT_KEYS = 256
 TRACKED_ITEMS = 8192
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Sum of the sizes of the plan's leaf relations; nothing is optimised or run.
-
-    Leaves of unknown size report a huge value, so callers treat them as large.
-    """
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def shuffle_width(spark: SparkSession) -> int:
-    """Number of partitions a shuffle starts with."""
-    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _broadcast_limit(spark: SparkSession) -> int:
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    digits = text.rstrip("bB")
-    return int(digits) if digits.lstrip("-").isdigit() else 10 << 20
-
-
 def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
     """Hashes of the keys that fill two shuffle partitions or more, with their salt count.
 
@@ -123,7 +103,7 @@ def lookup_join(
     keys = [keys] if isinstance(keys, str) else list(keys)
     check_over = SKEW_CHECK_BYTES if check_over is None else check_over
     spark = fact.sparkSession
-    small_lookup = input_bytes(lookup) <= _broadcast_limit(spark)
+    small_lookup = input_bytes(lookup) <= broadcast_limit(spark)
     if input_bytes(fact) <= check_over or (small_lookup and check_over > 0):
         return _join(fact, lookup, keys, how, within)
     hot = hot_keys(fact, keys)
