@@ -121,7 +121,10 @@ def stream_parquet(t):
     source = t.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     target = layout.path("bronze", "orders_copy")
     for _ in range(2):
-        stream = stream_files(t.spark, t.sf_dir, "orders.parquet", source.schema, "parquet")
+        # A glob, as the table may be one file or a folder of files.
+        stream = stream_files(
+            t.spark, f"{t.sf_dir}/orders*.parquet", "*.parquet", source.schema, "parquet"
+        )
         run_available_now(stream, target, layout.state_path("checkpoints", "orders_copy"))
     return t.spark.read.parquet(target)
 
