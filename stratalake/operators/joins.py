@@ -16,7 +16,7 @@ from stratalake.functions import spread_hash
 from stratalake.sizing import broadcast_limit, input_bytes, shuffle_width
 
 # Below this many input bytes even a key with a third of all rows is a normal task.
-SKEW_CHECK_BYTES = 8 << 30
+SKEW_CHECK_BYTES = 2 << 30
 
 # At most this many keys are tracked as hot, which bounds the broadcast side by construction.
 MAX_HOT_KEYS = 256
@@ -93,12 +93,14 @@ def lookup_join(
     *,
     within: Column | None = None,
     check_over: int | None = None,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``fact`` to a lookup on equal keys; ``how`` is inner, left, left_semi or left_anti.
 
     ``within`` is an extra condition over both sides (their other column names must differ).
     ``check_over`` is the input size in bytes above which hot keys are looked for, by a job that
-    runs when this function is called.
+    runs when this function is called. It counts the keys of ``count_on``, by default the fact:
+    give the table the keys come from if the fact is the result of other joins.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     check_over = SKEW_CHECK_BYTES if check_over is None else check_over
@@ -106,7 +108,7 @@ def lookup_join(
     small_lookup = input_bytes(lookup) <= broadcast_limit(spark)
     if input_bytes(fact) <= check_over or (small_lookup and check_over > 0):
         return _join(fact, lookup, keys, how, within)
-    hot = hot_keys(fact, keys)
+    hot = hot_keys(fact if count_on is None else count_on, keys)
     if hot is None:
         return _join(fact, lookup, keys, how, within)
     salted = _join(

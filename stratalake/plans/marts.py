@@ -4,9 +4,9 @@ Inputs keep their declared grain: one row per order in orders, per key in dimens
 gate before the marts checks that; under it a distinct order count is a plain count, and the
 joins below multiply nothing.
 
-Facts are reduced to the grain of a join before the join. What crosses a shuffle then has a
-bounded number of rows per key even if one order, product or customer holds a third of a fact.
-Joins that must keep every fact row go through ``lookup_join``, which salts hot keys.
+Facts are reduced to the grain of a join before the join where the mart allows it. What crosses a
+shuffle then has one row per key even if one order holds a third of a fact. Joins that need every
+fact row go through ``lookup_join``, which salts hot keys.
 """
 
 from __future__ import annotations
@@ -30,7 +30,12 @@ from stratalake.functions import (
 )
 from stratalake.operators.aggregates import pivot_sum
 from stratalake.operators.dedup import top_n_per_group
-from stratalake.operators.joins import items_with_orders, items_with_products, lookup_join
+from stratalake.operators.joins import (
+    items_with_orders,
+    items_with_products,
+    lookup_join,
+    person_orders,
+)
 from stratalake.sources.specs import PAYMENT_TYPES
 
 BOUGHT = "order_purchase_timestamp"
@@ -79,18 +84,19 @@ def category_performance(
 ) -> DataFrame:
     """Per day and category: orders, items, revenue, freight and averages.
 
-    Items are reduced to one row per (order, category) before they meet the orders. Items of an
-    unknown order do not count.
+    Items of an unknown order do not count. Items are shuffled to their order once; the rows per
+    (order, category) are then formed where they are, and a distinct order count becomes a count.
     """
     category = or_unknown("product_category_name_english")
-    labels = products.select("product_id", "product_category_name_english")
+    labelled = items_with_products(
+        items.select("order_id", "product_id", "price", "freight_value", "total_item_value"),
+        products.select("product_id", "product_category_name_english"),
+        **opts,
+    )
+    days = orders.select("order_id", order_day(BOUGHT).alias("order_date"))
     per_order = (
-        items_with_products(
-            items.select("order_id", "product_id", "price", "freight_value", "total_item_value"),
-            labels,
-            **opts,
-        )
-        .groupBy("order_id", category.alias("product_category_name_english"))
+        items_with_orders(labelled, days, count_on=items, **opts)
+        .groupBy("order_id", "order_date", category.alias("product_category_name_english"))
         .agg(
             F.count(F.lit(1)).alias("n_items"),
             F.count("total_item_value").alias("n_valued"),
@@ -99,10 +105,8 @@ def category_performance(
             F.sum(cents("total_item_value")).alias("value"),
         )
     )
-    days = orders.select("order_id", order_day(BOUGHT).alias("order_date"))
     return (
-        per_order.join(days, "order_id")
-        .groupBy("order_date", "product_category_name_english")
+        per_order.groupBy("order_date", "product_category_name_english")
         .agg(
             F.count("order_id").alias("order_volume"),
             F.sum("n_items").alias("item_volume"),
@@ -123,23 +127,19 @@ def category_performance(
     )
 
 
-def customer_cohorts(orders: DataFrame, customers: DataFrame) -> DataFrame:
+def customer_cohorts(orders: DataFrame, customers: DataFrame, **opts) -> DataFrame:
     """Per first-order month and order month: active people, orders and retention.
 
-    Orders are counted per (customer, month) before the person is looked up, and per (person,
-    month) before the first month is found, so the window holds months and not orders. Everybody
-    is active in their first month: its row also gives the size of the cohort, without a join.
+    Orders are counted per (person, month) before the first month is found, so the window holds
+    months and not orders. Everybody is active in their first month: its row also gives the size
+    of the cohort, without a join.
     """
-    per_customer = orders.groupBy(
-        "customer_id", month_of(BOUGHT).alias("order_month")
-    ).agg(F.count("order_id").alias("n_orders"))
-    people = customers.select("customer_id", "customer_unique_id").filter(
-        F.isnotnull("customer_unique_id")
-    )
+    placed = orders.select("customer_id", "order_id", month_of(BOUGHT).alias("order_month"))
+    people = customers.filter(F.isnotnull("customer_unique_id"))
     per_person = (
-        per_customer.join(people, "customer_id")
+        person_orders(placed, people, **opts)
         .groupBy("customer_unique_id", "order_month")
-        .agg(F.sum("n_orders").alias("n_orders"))
+        .agg(F.count("order_id").alias("n_orders"))
     )
     person = Window.partitionBy("customer_unique_id")
     activity = (
@@ -249,7 +249,7 @@ def sales_wide(
         labels,
         **opts,
     )
-    return items_with_orders(item_rows, order_side, **opts).select(
+    return items_with_orders(item_rows, order_side, count_on=items, **opts).select(
         "order_id",
         "order_item_id",
         "product_id",
