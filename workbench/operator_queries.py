@@ -555,8 +555,8 @@ query(
     )
 )
 
-query("o02_display_order", "SELECT n_nationkey, n_name FROM nation ORDER BY n_name")(
-    lambda t: t.table("nation").select("n_nationkey", "n_name").orderBy("n_name")
+query("o02_display_order", "SELECT c_custkey, c_name FROM customer ORDER BY c_name")(
+    lambda t: t.table("customer").select("c_custkey", "c_name").orderBy("c_name")
 )
 
 query(
@@ -760,10 +760,10 @@ query(
     )
 )
 
-query("p08_empty_then_filled", "SELECT n_nationkey, n_name FROM nation")(
+query("p08_empty_then_filled", "SELECT c_custkey, c_name FROM customer")(
     lambda t: filters.empty_like(
-        t.spark, t.table("nation").select("n_nationkey", "n_name").schema
-    ).unionByName(t.table("nation").select("n_nationkey", "n_name"))
+        t.spark, t.table("customer").select("c_custkey", "c_name").schema
+    ).unionByName(t.table("customer").select("c_custkey", "c_name"))
 )
 
 query(

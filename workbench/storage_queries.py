@@ -195,13 +195,13 @@ def replace_and_repoint(t):
 
 @query(
     "s15_s16_s17_named_view",
-    "SELECT n_nationkey, n_name FROM nation",
+    "SELECT s_suppkey, s_name FROM supplier",
 )
 def named_view(t):
     layout = fresh_layout(t)
-    name, path = layout.name("silver", "nations"), layout.path("silver", "nations")
-    tables.replace_table(t.table("nation").select("n_nationkey", "n_name"), name, path)
-    return tables.as_view(layout.table(t.spark, "silver", "nations"), "nations_view")
+    name, path = layout.name("silver", "suppliers"), layout.path("silver", "suppliers")
+    tables.replace_table(t.table("supplier").select("s_suppkey", "s_name"), name, path)
+    return tables.as_view(layout.table(t.spark, "silver", "suppliers"), "suppliers_view")
 
 
 @query(
