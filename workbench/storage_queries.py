@@ -352,6 +352,7 @@ def full_run(t):
     # One load has one copy of a row; the roles with two ingests land their later copy.
     raw["customers"] = silver.dim_customers(t.customers)
     raw["order_reviews"] = silver.fct_reviews(t.reviews)
+    # One after another: writers that share a folder would remove each other's temporary files.
     for table, df in raw.items():
         land(df, _landing(layout), table)
     cfg = medallion.RunConfig(layout, _landing(layout), BATCH, fail_on_quality=False)
