@@ -1,0 +1,76 @@
+import pytest
+from pyspark.sql import functions as F
+
+from stratalake import sizing
+from stratalake.operators import joins
+
+WIDTH = "spark.sql.shuffle.partitions"
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(20000).withColumn("k", F.col("id") % 50).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture
+def width(spark):
+    before = spark.conf.get(WIDTH)
+    yield int(before)
+    spark.conf.set(WIDTH, before)
+
+
+def test_input_bytes_is_the_size_of_the_files(table):
+    size = sizing.input_bytes(table)
+    assert 20000 < size < 20000 * 20
+    # Both sides of a join count, and nothing is multiplied.
+    assert sizing.input_bytes(table.join(table, "id")) == 2 * size
+
+
+def test_unknown_sizes_count_as_large(spark):
+    assert sizing.input_bytes(spark.createDataFrame([(1,)], "a int")) >= sizing.UNKNOWN_BYTES
+
+
+def test_shuffles_grow_with_the_input_and_never_shrink(spark, table, width, monkeypatch):
+    sizing.fit_shuffles(table)
+    assert spark.conf.get(WIDTH) == str(width)
+    monkeypatch.setattr(sizing, "INPUT_BYTES_PER_PARTITION", sizing.input_bytes(table) // 30)
+    sizing.fit_shuffles(table)
+    assert int(spark.conf.get(WIDTH)) in (30, 31)
+    monkeypatch.setattr(sizing, "INPUT_BYTES_PER_PARTITION", 1)
+    sizing.fit_shuffles(spark.createDataFrame([(1,)], "a int"))
+    assert int(spark.conf.get(WIDTH)) in (30, 31)
+    monkeypatch.setattr(sizing, "MAX_SHUFFLE_PARTITIONS", 77)
+    sizing.fit_shuffles(table)
+    assert spark.conf.get(WIDTH) == "77"
+
+
+def test_hot_keys_are_only_looked_for_in_large_inputs(spark, table, monkeypatch):
+    looked = []
+    monkeypatch.setattr(joins, "hot_keys", lambda *_: looked.append(1))
+    lookup = spark.createDataFrame([(1, "a")], "k long, v string")
+    joins.lookup_join(table, lookup, "k")
+    assert not looked
+    monkeypatch.setattr(joins, "SKEW_CHECK_BYTES", 100)
+    joins.lookup_join(table, lookup, "k")
+    assert looked
+
+
+def test_keys_can_be_counted_on_another_table(spark, table, monkeypatch):
+    counted = []
+    monkeypatch.setattr(joins, "hot_keys", lambda df, keys: counted.append(df))
+    lookup = spark.createDataFrame([(1, "a")], "k long, v string")
+    joins.lookup_join(table.filter("id > 5"), lookup, "k", check_over=0, count_on=table)
+    assert counted == [table]
+
+
+def test_broadcast_limit_reads_both_forms(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    try:
+        for text, expected in [("-1", -1), ("1048576", 1048576), ("512b", 512)]:
+            spark.conf.set(key, text)
+            assert sizing.broadcast_limit(spark) == expected
+    finally:
+        spark.conf.set(key, before)
