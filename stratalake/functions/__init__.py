@@ -11,7 +11,15 @@ from stratalake.functions.calendar import (
 )
 from stratalake.functions.flags import any_changed, changed, is_delivered, is_late, sentinel_for
 from stratalake.functions.keys import row_hash, scd_id, spread_hash
-from stratalake.functions.money import add_money, cents, from_cents, rate, round_money, safe_ratio
+from stratalake.functions.money import (
+    add_money,
+    cents,
+    from_cents,
+    rate,
+    ratio,
+    round_money,
+    safe_ratio,
+)
 from stratalake.functions.text import norm_city, norm_state, or_unknown
 
 __all__ = [
@@ -30,6 +38,7 @@ __all__ = [
     "or_unknown",
     "order_day",
     "rate",
+    "ratio",
     "round_money",
     "row_hash",
     "safe_ratio",

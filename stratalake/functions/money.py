@@ -38,6 +38,11 @@ def safe_ratio(numerator: str | Column, denominator: str | Column, scale: int) -
     return F.round(F.try_divide(top, bottom), scale).cast("double")
 
 
+def ratio(numerator: str | Column, denominator: str | Column) -> Column:
+    """Unrounded quotient as a double, NULL when the denominator is 0."""
+    return F.try_divide(_col(numerator).cast("double"), _col(denominator).cast("double"))
+
+
 def rate(numerator: str | Column, denominator: str | Column) -> Column:
     """A share with four decimals."""
     return safe_ratio(numerator, denominator, 4)

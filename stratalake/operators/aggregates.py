@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from stratalake.functions import ratio
+
 
 def row_volume(df: DataFrame, keys: list, name: str = "row_volume") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
@@ -86,10 +88,7 @@ def share_of_pane(df: DataFrame, pane: list[str], n: str, name: str = "share") -
 
     The window holds one row per mark of a chart, never base rows.
     """
-    total = F.sum(n).over(Window.partitionBy(*pane))
-    return df.withColumn(
-        name, F.round(F.try_divide(F.col(n).cast("decimal(20,0)"), total), 4).cast("double")
-    )
+    return df.withColumn(name, ratio(n, F.sum(n).over(Window.partitionBy(*pane))))
 
 
 def count_report(tables: dict[str, DataFrame]) -> DataFrame:

@@ -1,10 +1,13 @@
-"""Dashboard queries over the marts. Each takes one mart and joins nothing."""
+"""Dashboard queries over the marts. Each takes one mart and joins nothing.
+
+Averages and shares are quotients of exact sums and are not rounded; display is up to the chart.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stratalake.functions import cents, from_cents, rate, safe_ratio
+from stratalake.functions import cents, from_cents, ratio
 from stratalake.operators.aggregates import share_of_pane
 from stratalake.sources.specs import PAYMENT_TYPES
 
@@ -30,7 +33,7 @@ def average_order_value(sales: DataFrame) -> DataFrame:
     totals = sales.agg(
         F.sum(cents(VALUE)).alias("value"), F.countDistinct("order_id").alias("n")
     )
-    return totals.select(safe_ratio("value", F.col("n") * 100, 2).alias("average_order_value"))
+    return totals.select(ratio(from_cents("value"), "n").alias("average_order_value"))
 
 
 def total_customers(sales: DataFrame) -> DataFrame:
@@ -94,7 +97,7 @@ def on_time_rate(ops: DataFrame) -> DataFrame:
     return ops.agg(
         F.count_if(F.col("is_delivered") & ~F.col("is_late_delivery")).alias("on_time"),
         F.count_if("is_delivered").alias("delivered"),
-    ).select(rate("on_time", "delivered").alias("on_time_delivery_rate"))
+    ).select(ratio("on_time", "delivered").alias("on_time_delivery_rate"))
 
 
 def average_delivery_days(ops: DataFrame) -> DataFrame:
@@ -102,14 +105,14 @@ def average_delivery_days(ops: DataFrame) -> DataFrame:
     return (
         ops.filter("is_delivered")
         .agg(F.sum(days).alias("days"), F.count(days).alias("n"))
-        .select(safe_ratio("days", "n", 2).alias("average_delivery_days"))
+        .select(ratio("days", "n").alias("average_delivery_days"))
     )
 
 
 def average_review_score(ops: DataFrame) -> DataFrame:
     return ops.agg(
         F.sum("review_score").alias("score"), F.count("review_score").alias("n")
-    ).select(safe_ratio("score", "n", 2).alias("average_review_score"))
+    ).select(ratio("score", "n").alias("average_review_score"))
 
 
 def review_count(ops: DataFrame) -> DataFrame:
@@ -125,7 +128,7 @@ def _average(column: str, keep: Column | None = None) -> list[Column]:
 
 
 def _averaged(column: str) -> Column:
-    return safe_ratio(f"_sum_{column}", f"_n_{column}", 2).alias(f"avg_{column}")
+    return ratio(f"_sum_{column}", f"_n_{column}").alias(f"avg_{column}")
 
 
 def delivery_days_by_state(ops: DataFrame) -> DataFrame:
@@ -143,7 +146,7 @@ def late_rate_by_state(ops: DataFrame) -> DataFrame:
         ops.filter("is_delivered")
         .groupBy("customer_state")
         .agg(F.count_if("is_late_delivery").alias("late"), F.count("order_id").alias("n"))
-        .select("customer_state", rate("late", "n").alias("late_delivery_rate"))
+        .select("customer_state", ratio("late", "n").alias("late_delivery_rate"))
     )
 
 

@@ -73,10 +73,10 @@ def test_centroid_does_not_depend_on_partitions(spark):
 def test_shares(spark, rows):
     df = spark.createDataFrame([("y1", 1, 1), ("y1", 2, 2), ("y2", 1, 4)], "y string, s int, n long")
     assert rows(aggregates.share_of_pane(df, ["y"], "n")) == [
-        ("y1", 1, 1, 0.3333), ("y1", 2, 2, 0.6667), ("y2", 1, 4, 1.0),
+        ("y1", 1, 1, 1 / 3), ("y1", 2, 2, 2 / 3), ("y2", 1, 4, 1.0),
     ]
     assert [r.share for r in aggregates.share_of_pane(df, [], "n").orderBy("n").collect()] == [
-        0.1429, 0.2857, 0.5714,
+        1 / 7, 2 / 7, 4 / 7,
     ]
 
 

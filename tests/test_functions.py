@@ -74,6 +74,7 @@ def test_ratio_rounds_half_up_in_decimal(spark):
         X.rate(F.lit(1), F.lit(3)),
         X.rate(F.lit(None).cast("long"), F.lit(3)),
     ) == (123.46, -123.46, None, 0.3333, None)
+    assert one(spark, X.ratio(F.lit(1), F.lit(3)), X.ratio(F.lit(1), F.lit(0))) == (1 / 3, None)
 
 
 @pytest.mark.parametrize(

@@ -236,7 +236,7 @@ def test_dashboards(shop):
     ]
     assert dashboards.revenue_by_state(sales).first().customer_state == "SP"
     assert dashboards.revenue_by_category(sales).first().product_category_name_english == "unknown"
-    assert dashboards.on_time_rate(ops).first() == (0.6667,)
+    assert dashboards.on_time_rate(ops).first() == (2 / 3,)
     assert dashboards.average_delivery_days(ops).first() == (4.0,)
     assert dashboards.average_review_score(ops).first() == (2.5,)
     assert dashboards.review_count(ops).first() == (2, 2)

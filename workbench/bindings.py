@@ -414,3 +414,8 @@ def ratio_sql(top: str, bottom: str, scale: int) -> str:
 
 def money_sql(cents: str) -> str:
     return f"CAST({cents} AS DOUBLE) / 100.0"
+
+
+def quotient_sql(top: str, bottom: str) -> str:
+    """Unrounded quotient."""
+    return f"(CAST({top} AS DOUBLE) / NULLIF(CAST({bottom} AS DOUBLE), 0))"

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from stratalake.plans import dashboards, silver
-from workbench.bindings import money_sql, ratio_sql, with_roles
+from workbench.bindings import money_sql, quotient_sql, ratio_sql, with_roles
 from workbench.marts_sql import over_marts
 from workbench.registry import query
 
@@ -127,7 +127,7 @@ query(
 query(
     "b03_average_order_value",
     over_marts(
-        f"""SELECT {ratio_sql(_CENTS, "count(DISTINCT order_id) * 100", 2)}
+        f"""SELECT {quotient_sql(_REVENUE, "count(DISTINCT order_id)")}
         AS average_order_value FROM m_sales_wide"""
     ),
 )(lambda t: dashboards.average_order_value(t.sales_wide))
@@ -182,15 +182,14 @@ query(
 query(
     "b10_on_time_rate",
     over_marts(
-        f"""SELECT {ratio_sql("count(*) FILTER (is_delivered AND NOT is_late_delivery)",
-        "count(*) FILTER (is_delivered)", 4)} AS on_time_delivery_rate FROM m_ops_wide"""
+        f"""SELECT {quotient_sql("count(*) FILTER (is_delivered AND NOT is_late_delivery)", "count(*) FILTER (is_delivered)")} AS on_time_delivery_rate FROM m_ops_wide"""
     ),
 )(lambda t: dashboards.on_time_rate(t.ops_wide))
 
 
 def _avg(column: str, where: str | None = None) -> str:
     keep = f" FILTER ({where})" if where else ""
-    return ratio_sql(f"sum({column}){keep}", f"count({column}){keep}", 2)
+    return quotient_sql(f"sum({column}){keep}", f"count({column}){keep}")
 
 
 query(
@@ -227,7 +226,7 @@ query(
     "b15_late_rate_by_state",
     over_marts(
         f"""SELECT customer_state,
-        {ratio_sql("count(*) FILTER (is_late_delivery)", "count(order_id)", 4)}
+        {quotient_sql("count(*) FILTER (is_late_delivery)", "count(order_id)")}
         AS late_delivery_rate FROM m_ops_wide WHERE is_delivered GROUP BY 1"""
     ),
 )(lambda t: dashboards.late_rate_by_state(t.ops_wide))
@@ -236,7 +235,7 @@ query(
     "b16_review_scores_by_year",
     over_marts(
         f"""SELECT order_year, review_score, reviews,
-        {ratio_sql("reviews", "sum(reviews) OVER (PARTITION BY order_year)", 4)} AS share_of_year
+        {quotient_sql("reviews", "sum(reviews) OVER (PARTITION BY order_year)")} AS share_of_year
         FROM (SELECT order_year, review_score, count(review_id) AS reviews FROM m_ops_wide
           WHERE review_score IS NOT NULL GROUP BY 1, 2)"""
     ),
@@ -255,7 +254,7 @@ query(
     "b18_status_distribution",
     over_marts(
         f"""SELECT order_status, orders,
-        {ratio_sql("orders", "sum(orders) OVER ()", 4)} AS share_of_orders
+        {quotient_sql("orders", "sum(orders) OVER ()")} AS share_of_orders
         FROM (SELECT order_status, count(order_id) AS orders FROM m_ops_wide GROUP BY 1)"""
     ),
 )(lambda t: dashboards.status_distribution(t.ops_wide))

@@ -27,7 +27,7 @@ from stratalake.operators import aggregates, dedup, filters, joins, merge
 from stratalake.plans import checks, marts
 from stratalake.sources.csv_files import apply_casts, split_rejects
 from stratalake.sources.specs import PAYMENT_TYPES
-from workbench.bindings import SECOND_RUN, money_sql, ratio_sql, with_roles
+from workbench.bindings import SECOND_RUN, money_sql, quotient_sql, ratio_sql, with_roles
 from workbench.marts_sql import over_marts
 from workbench.registry import query
 
@@ -528,7 +528,7 @@ query(
 query(
     "w06_share_of_pane",
     f"""SELECT l_returnflag, l_linestatus, n,
-    {ratio_sql("n", "sum(n) OVER (PARTITION BY l_returnflag)", 4)} AS share
+    {quotient_sql("n", "sum(n) OVER (PARTITION BY l_returnflag)")} AS share
     FROM (SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2)""",
 )(
     lambda t: aggregates.share_of_pane(
