@@ -10,7 +10,7 @@ on which keys were found.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stratalake.functions import spread_hash
 from stratalake.sizing import broadcast_limit, input_bytes, shuffle_width
@@ -23,7 +23,28 @@ MAX_HOT_KEYS = 256
 TRACKED_ITEMS = 8192
 
 
-def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
+def _key_types(fact: DataFrame, lookup: DataFrame, keys: list[str]) -> list[str] | None:
+    """Types in which equal keys of both sides hash alike; None if there is no such type.
+
+    An int and a long join as equal but do not hash alike, so whole numbers are hashed as longs.
+    """
+    types = []
+    for k in keys:
+        a, b = fact.schema[k].dataType, lookup.schema[k].dataType
+        if isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType):
+            types.append("bigint")
+        elif a == b and not isinstance(a, T.FractionalType):
+            types.append(a.simpleString())
+        else:
+            return None
+    return types
+
+
+def _key_hash(keys: list[str], types: list[str]) -> Column:
+    return F.xxhash64(*[F.col(k).cast(t) for k, t in zip(keys, types)])
+
+
+def hot_keys(df: DataFrame, keys: list[str], types: list[str]) -> DataFrame | None:
     """Hashes of the keys that fill two shuffle partitions or more, with their salt count.
 
     Runs one pass over the key columns, in which each task sends one fixed-size sketch. The at
@@ -33,7 +54,7 @@ def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
     spark = df.sparkSession
     width = shuffle_width(spark)
     found = (
-        df.select(F.xxhash64(*keys).alias("_h"))
+        df.select(_key_hash(keys, types).alias("_h"))
         .agg(
             F.expr(f"approx_top_k(_h, {MAX_HOT_KEYS}, {TRACKED_ITEMS})").alias("top"),
             F.count(F.lit(1)).alias("total"),
@@ -48,7 +69,7 @@ def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
     return spark.createDataFrame([(r.item, r.salts) for r in found], "_h long, _salts int")
 
 
-def _salt(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+def _salt(df: DataFrame, key_hash: Column, hot: DataFrame) -> DataFrame:
     """Give each row of a hot key one of its salts.
 
     The salt hashes the row and its partition number: it is the same when a lost task is run
@@ -56,18 +77,18 @@ def _salt(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
     """
     spread = F.pmod(spread_hash(df), F.col("_salts"))
     return (
-        df.withColumn("_h", F.xxhash64(*keys))
+        df.withColumn("_h", key_hash)
         .join(F.broadcast(hot), "_h", "left")
         .withColumn("_salt", F.coalesce(spread, F.lit(0)).cast("int"))
         .drop("_h", "_salts")
     )
 
 
-def _repeat(lookup: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+def _repeat(lookup: DataFrame, key_hash: Column, hot: DataFrame) -> DataFrame:
     """Repeat the lookup rows of a hot key once per salt."""
     last = F.coalesce(F.col("_salts"), F.lit(1)) - 1
     return (
-        lookup.withColumn("_h", F.xxhash64(*keys))
+        lookup.withColumn("_h", key_hash)
         .join(F.broadcast(hot), "_h", "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
         .drop("_h", "_salts")
@@ -108,11 +129,17 @@ def lookup_join(
     small_lookup = input_bytes(lookup) <= broadcast_limit(spark)
     if input_bytes(fact) <= check_over or (small_lookup and check_over > 0):
         return _join(fact, lookup, keys, how, within)
-    hot = hot_keys(fact if count_on is None else count_on, keys)
+    types = _key_types(fact, lookup, keys)
+    hot = hot_keys(fact if count_on is None else count_on, keys, types) if types else None
     if hot is None:
         return _join(fact, lookup, keys, how, within)
+    key_hash = _key_hash(keys, types)
     salted = _join(
-        _salt(fact, keys, hot), _repeat(lookup, keys, hot), keys + ["_salt"], how, within
+        _salt(fact, key_hash, hot),
+        _repeat(lookup, key_hash, hot),
+        keys + ["_salt"],
+        how,
+        within,
     )
     return salted.drop("_salt")
 

@@ -9,7 +9,12 @@ from stratalake.operators import joins
 
 @pytest.fixture(scope="module")
 def skewed(spark):
-    """6,000 facts: a third on key 1 and all alike, a tenth without key, the rest spread."""
+    """6,000 facts: a third on key 1 and all alike, a tenth without key, the rest spread.
+
+    The shuffle is wide enough for a third of the rows to be far more than one partition.
+    """
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
     rng = random.Random(7)
     data = [(1, "copy")] * 2000 + [(None, f"n{i}") for i in range(600)]
     data += [(rng.randrange(2, 900), f"v{i}") for i in range(3400)]
@@ -17,7 +22,12 @@ def skewed(spark):
     lookup = spark.createDataFrame(
         [(k, f"name{k}") for k in [*range(0, 700), None]], "k long, name string"
     )
-    return data, facts, lookup
+    yield data, facts, lookup
+    spark.conf.set("spark.sql.shuffle.partitions", width)
+
+
+def is_salted(df):
+    return "_salts" in df._jdf.queryExecution().analyzed().toString()
 
 
 def brute(data, how):
@@ -35,31 +45,29 @@ def brute(data, how):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("check_over", [0, 1 << 62])
+@pytest.mark.parametrize("check_over", [0, 1 << 70])
 def test_lookup_join_equals_brute_force(skewed, how, check_over):
     data, facts, lookup = skewed
     got = joins.lookup_join(facts, lookup, "k", how, check_over=check_over)
+    assert is_salted(got) == (check_over == 0)
     names = ["k", "v", "name"] if how in ("inner", "left") else ["k", "v"]
     assert got.columns == names
     assert Counter(tuple(r) for r in got.collect()) == brute(data, how)
 
 
-def test_hot_keys_finds_the_heavy_key_only(spark, skewed):
+def test_hot_keys_finds_the_heavy_keys_only(spark, skewed):
     _, facts, _ = skewed
-    width = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "12")
-    try:
-        hot = {r["_h"]: r["_salts"] for r in joins.hot_keys(facts, ["k"]).collect()}
-        key = spark.range(1).select(F.xxhash64(F.lit(1).cast("long"))).first()[0]
-        # A third of the rows fills four of twelve partitions; twice as many salts.
-        assert hot == {key: 8}
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", width)
+    hot = {r["_h"]: r["_salts"] for r in joins.hot_keys(facts, ["k"], ["bigint"]).collect()}
+    one, null = (
+        spark.range(1).select(F.xxhash64(F.lit(v).cast("long"))).first()[0] for v in (1, None)
+    )
+    # A third of the rows fills eight of 24 partitions, a tenth 2.4; twice as many salts.
+    assert hot == {one: 16, null: 5}
 
 
 def test_even_keys_take_the_plain_join(spark):
     facts = spark.range(1000).select((F.col("id") % 100).alias("k"), "id")
-    assert joins.hot_keys(facts, ["k"]) is None
+    assert joins.hot_keys(facts, ["k"], ["bigint"]) is None
 
 
 def test_salts_spread_identical_copies(spark, skewed):
@@ -68,15 +76,62 @@ def test_salts_spread_identical_copies(spark, skewed):
         [spark.range(1).select(F.xxhash64(F.lit(1).cast("long")), F.lit(16)).first()],
         "_h long, _salts int",
     )
-    salted = joins._salt(facts, ["k"], hot).filter("k = 1 AND v = 'copy'")
+    salted = joins._salt(facts, joins._key_hash(["k"], ["bigint"]), hot).filter("k = 1 AND v = 'copy'")
     assert salted.select("_salt").distinct().count() > 1
 
 
-def test_within_adds_a_condition(spark):
+@pytest.mark.parametrize("fact_type, lookup_type", [("int", "bigint"), ("bigint", "smallint")])
+def test_whole_numbers_of_other_widths_still_meet(skewed, fact_type, lookup_type):
+    data, facts, lookup = skewed
+    facts = facts.withColumn("k", F.col("k").cast(fact_type))
+    lookup = lookup.withColumn("k", F.col("k").cast(lookup_type))
+    got = joins.lookup_join(facts, lookup, "k", "inner", check_over=0)
+    assert is_salted(got)
+    assert Counter(tuple(r) for r in got.collect()) == brute(data, "inner")
+
+
+def test_keys_that_may_hash_apart_are_not_salted(spark, skewed, monkeypatch):
+    data, facts, lookup = skewed
+    monkeypatch.setattr(joins, "hot_keys", lambda *_: pytest.fail("looked for hot keys"))
+    got = joins.lookup_join(
+        facts.withColumn("k", F.col("k").cast("double")), lookup, "k", "inner", check_over=0
+    )
+    assert got.count() == sum(brute(data, "inner").values())
+
+
+def test_text_keys_are_salted(skewed):
+    data, facts, lookup = skewed
+    facts = facts.withColumn("k", F.col("k").cast("string"))
+    lookup = lookup.withColumn("k", F.col("k").cast("string"))
+    got = joins.lookup_join(facts, lookup, "k", "left", check_over=0)
+    assert is_salted(got)
+    want = Counter({(None if k is None else str(k), v, n): c
+                    for (k, v, n), c in brute(data, "left").items()})
+    assert Counter(tuple(r) for r in got.collect()) == want
+
+
+def test_salted_rows_spread_over_partitions(spark, skewed):
+    _, facts, lookup = skewed
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes = {}
+        for check_over in (0, 1 << 70):
+            got = joins.lookup_join(facts, lookup, "k", "left", check_over=check_over)
+            per_part = got.groupBy(F.spark_partition_id().alias("p")).count()
+            sizes[check_over] = per_part.agg(F.max("count")).first()[0]
+        assert sizes[1 << 70] >= 2000 and sizes[0] < 1000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_within_adds_a_condition(spark, skewed):
     facts = spark.createDataFrame([(1, 5), (1, 50)], "k long, at int")
     spans = spark.createDataFrame([(1, 0, 10, "a"), (1, 10, 20, "b")], "k long, lo int, hi int, n string")
     inside = (F.col("at") >= F.col("lo")) & (F.col("at") < F.col("hi"))
-    for check_over in (0, 1 << 62):
+    for check_over in (0, 1 << 70):
         got = joins.lookup_join(facts, spans, "k", "left", within=inside, check_over=check_over)
         assert sorted(map(tuple, got.select("at", "n").collect())) == [(5, "a"), (50, None)]
 

@@ -59,7 +59,7 @@ def test_hot_keys_are_only_looked_for_in_large_inputs(spark, table, monkeypatch)
 
 def test_keys_can_be_counted_on_another_table(spark, table, monkeypatch):
     counted = []
-    monkeypatch.setattr(joins, "hot_keys", lambda df, keys: counted.append(df))
+    monkeypatch.setattr(joins, "hot_keys", lambda df, *_: counted.append(df))
     lookup = spark.createDataFrame([(1, "a")], "k long, v string")
     joins.lookup_join(table.filter("id > 5"), lookup, "k", check_over=0, count_on=table)
     assert counted == [table]

@@ -100,11 +100,11 @@ def _items_with_products(t, **opts):
 query("j05_items_with_products", with_roles(_J05_SQL))(_items_with_products)
 
 # The same join with the search for hot keys forced on; no product is hot in this data.
-query("j05_items_with_products_salted", with_roles(_J05_SQL))(
+query("j05_items_with_products_key_search", with_roles(_J05_SQL))(
     lambda t: _items_with_products(t, check_over=0)
 )
 
-# Three flags hold all rows, so each of them is hot in any session and gets salted.
+# Three flags hold all rows, so each is hot as soon as a shuffle has seven partitions or more.
 query(
     "j05_hot_keys_salted",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, n_flag FROM lineitem JOIN
@@ -175,7 +175,7 @@ query(
     )
 )
 
-query("j10_star_salted", over_marts("FROM m_sales_wide"))(
+query("j10_star_key_search", over_marts("FROM m_sales_wide"))(
     lambda t: marts.sales_wide(
         t.fct_order_items,
         t.fct_orders,
