@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 LAYERS = ("bronze", "silver", "gold")
 
 # Settings for a cluster session. The number of shuffle partitions is not among them, as it has
-# to follow the data: see ``sizing.fit_shuffles``.
+# to follow the data: see ``sizing.fit_session``.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 INPUT_BYTES_PER_PARTITION = 64 << 20
 MAX_SHUFFLE_PARTITIONS = 50_000
 
+SPLIT_SETTING = "spark.sql.files.maxPartitionBytes"
+MAX_SCAN_TASKS = 200_000
+MAX_SPLIT_BYTES = 1 << 30
+
 # Spark's stand-in for "size unknown" is the largest long.
 UNKNOWN_BYTES = 1 << 62
 
@@ -30,23 +35,31 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def parse_bytes(text: str) -> int:
+    """Bytes of a size setting such as ``134217728b``, ``64m`` or ``-1``."""
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)i?b?", text.strip().lower()).groups()
+    return int(number) << (10 * " kmgtp".index(unit or " "))
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     """Size in bytes up to which Spark broadcasts a table by itself."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    digits = text.rstrip("bB")
-    return int(digits) if digits.lstrip("-").isdigit() else 10 << 20
+    return parse_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
 
 
-def fit_shuffles(df: DataFrame) -> None:
-    """Give the session enough shuffle partitions for this input; never fewer than it has.
+def fit_session(df: DataFrame) -> None:
+    """Make the session fit for an input of this size; small inputs change nothing.
 
-    AQE merges partitions that turn out small but does not split those that turn out large, so
-    the number to start with has to fit the largest table.
+    Shuffles get enough partitions, never fewer than the session has: AQE merges partitions that
+    turn out small but does not split those that turn out large. Scans of very large inputs get
+    larger splits, as the blocks of a shuffle are the product of its map and reduce tasks.
     """
     size = input_bytes(df)
     if size >= UNKNOWN_BYTES:
         return
     spark = df.sparkSession
+    split = min(math.ceil(size / MAX_SCAN_TASKS), MAX_SPLIT_BYTES)
+    if split > parse_bytes(spark.conf.get(SPLIT_SETTING)):
+        spark.conf.set(SPLIT_SETTING, str(split))
     needed = min(math.ceil(size / INPUT_BYTES_PER_PARTITION), MAX_SHUFFLE_PARTITIONS)
     if needed > shuffle_width(spark):
         spark.conf.set("spark.sql.shuffle.partitions", str(needed))

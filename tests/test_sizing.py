@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratalake import sizing
+from stratalake.config import SESSION_SETTINGS, apply_session_settings
 from stratalake.operators import joins
 
 WIDTH = "spark.sql.shuffle.partitions"
@@ -33,19 +34,42 @@ def test_unknown_sizes_count_as_large(spark):
 
 
 def test_shuffles_grow_with_the_input_and_never_shrink(spark, table, width, monkeypatch):
-    sizing.fit_shuffles(table)
+    sizing.fit_session(table)
     assert spark.conf.get(WIDTH) == str(width)
     monkeypatch.setattr(sizing, "INPUT_BYTES_PER_PARTITION", sizing.input_bytes(table) // 30)
-    sizing.fit_shuffles(table)
+    sizing.fit_session(table)
     assert int(spark.conf.get(WIDTH)) in (30, 31)
     monkeypatch.setattr(sizing, "INPUT_BYTES_PER_PARTITION", 1)
-    sizing.fit_shuffles(spark.createDataFrame([(1,)], "a int"))
+    sizing.fit_session(spark.createDataFrame([(1,)], "a int"))
     assert int(spark.conf.get(WIDTH)) in (30, 31)
     monkeypatch.setattr(sizing, "MAX_SHUFFLE_PARTITIONS", 77)
-    sizing.fit_shuffles(table)
+    sizing.fit_session(table)
     assert spark.conf.get(WIDTH) == "77"
 
 
+def test_scans_of_very_large_inputs_get_larger_splits(spark, table, width, monkeypatch):
+    before = spark.conf.get(sizing.SPLIT_SETTING)
+    try:
+        sizing.fit_session(table)
+        assert spark.conf.get(sizing.SPLIT_SETTING) == before
+        spark.conf.set(sizing.SPLIT_SETTING, "10b")
+        monkeypatch.setattr(sizing, "MAX_SCAN_TASKS", 10)
+        sizing.fit_session(table)
+        assert spark.conf.get(sizing.SPLIT_SETTING) == str(-(-sizing.input_bytes(table) // 10))
+    finally:
+        spark.conf.set(sizing.SPLIT_SETTING, before)
+
+
+def test_session_settings(spark):
+    before = {k: spark.conf.get(k) for k in SESSION_SETTINGS}
+    try:
+        apply_session_settings(spark)
+        assert {k: spark.conf.get(k) for k in SESSION_SETTINGS} == SESSION_SETTINGS
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_hot_keys_are_only_looked_for_in_large_inputs(spark, table, monkeypatch):
     looked = []
     monkeypatch.setattr(joins, "hot_keys", lambda *_: looked.append(1))
@@ -69,7 +93,7 @@ def test_broadcast_limit_reads_both_forms(spark):
     key = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(key)
     try:
-        for text, expected in [("-1", -1), ("1048576", 1048576), ("512b", 512)]:
+        for text, expected in [("-1", -1), ("1048576", 1048576), ("512b", 512), ("3m", 3 << 20)]:
             spark.conf.set(key, text)
             assert sizing.broadcast_limit(spark) == expected
     finally:

@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratalake.plans import marts, silver
-from stratalake.sizing import fit_shuffles
+from stratalake.sizing import fit_session
 from stratalake.sources.specs import PAYMENT_TYPES
 
 
@@ -84,7 +84,7 @@ class Roles:
         if name not in self._tables:
             reader = self.spark.read.schema(SCHEMAS[name])
             self._tables[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
-            fit_shuffles(self._tables[name])
+            fit_session(self._tables[name])
         return self._tables[name]
 
     # --- raw roles ---
