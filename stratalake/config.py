@@ -34,11 +34,12 @@ def scratch_dir(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="stratalake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="stratalake-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 @dataclass(frozen=True)
