@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.llm import mixing, quality
+from stratalake.llm import mixing, quality, simhash
 from stratalake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,9 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return quality.quality_verdicts(docs).drop("n_lines")
+
+
+@query("op2_simhash_groups")
+def op2_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.simhash_groups(read_table(spark, sf_dir, "documents"))
+    return groups.withColumn("fingerprint", simhash.hex_digits(F.col("fingerprint")))

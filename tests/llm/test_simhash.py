@@ -1,0 +1,142 @@
+"""SimHash against plain versions: fingerprints bit by bit, links by comparing all pairs."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings, strategies as st
+
+from stratalake.llm import simhash
+from stratalake.llm.components import connected_components
+
+
+def plain_fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    shingles = [" ".join(words[i : i + 4]) for i in range(len(words) - 3)] or [" ".join(words)] * bool(words)
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_groups(prints, radius=4):
+    group = list(range(len(prints)))
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= radius and group[i] != group[j]:
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    return group
+
+
+def near(value, bits, rng):
+    for b in rng.sample(range(64), bits):
+        value ^= 1 << b
+    return value
+
+
+TEXTS = [
+    None, "", "  \n", "one", "One  two", "a b c d", "A B C D", "a b c d e f g h", "É a b c d é",
+    "x " * 5000, "a b c d e", "a\x1cb c\td\x0be f", " ".join(f"w{i % 50}" for i in range(20_000)),
+]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_fingerprint_equals_plain(text):
+    got = simhash.majority_bits(simhash.shingle_hashes(text))
+    assert got & (1 << 64) - 1 == plain_fingerprint(text)
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.integers(0, 2**32), st.integers(1, 200), st.integers(0, 7))
+def test_sliced_distances_equal_bit_counts(seed, n, radius):
+    rng = random.Random(seed)
+    centre = rng.getrandbits(64)
+    values = [near(centre, rng.randrange(12), rng) for _ in range(n)]
+    lanes = np.array(values, np.uint64)
+    query, word, found = simhash.lanes_within(simhash.bit_planes(lanes), lanes[:5], radius)
+    got = set()
+    for q, w, f in zip(query.tolist(), word.tolist(), found):
+        got |= {(q, 64 * w + k) for k in simhash.lanes_of(np.array([f])).tolist() if 64 * w + k < n}
+    want = {(q, k) for q in range(min(5, n)) for k in range(n) if (values[q] ^ values[k]).bit_count() <= radius}
+    assert got == want
+
+
+def groups_of(links, values):
+    forest = simhash.Forest()
+    for a, b in links:
+        forest.add(a, b)
+    return [forest.top(v) for v in values]
+
+
+def same_partition(a, b):
+    return len(set(zip(a, b))) == len(set(a)) == len(set(b))
+
+
+@pytest.mark.parametrize("spread", [1, 3, 30])
+def test_long_run_joins_what_is_reachable(spread):
+    rng = random.Random(spread)
+    centres = [rng.getrandbits(64) for _ in range(20)]
+    values = sorted({near(rng.choice(centres), rng.randrange(spread + 1), rng) for _ in range(400)})
+    forest = simhash.Forest()
+    simhash.link_long_run(np.array(values, np.uint64), 4, forest)
+    signed = np.array(values, np.uint64).view(np.int64).tolist()
+    assert all((a ^ b).bit_count() <= 4 or ((a ^ b) & (1 << 64) - 1).bit_count() <= 4 for a, b in forest.links)
+    assert same_partition([forest.top(v) for v in signed], plain_groups(values))
+
+
+def test_search_equals_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "CHUNK", 50)
+    rng = random.Random(5)
+    centres = [rng.getrandbits(64) for _ in range(60)] + [0]
+    values = sorted({near(rng.choice(centres), rng.randrange(5), rng) for _ in range(500)} | {0, 7, (1 << 64) - 1})
+    signed = np.array(values, np.uint64).view(np.int64).tolist()
+    prints = spark.createDataFrame([(v,) for v in signed], "fingerprint long")
+    got = {r.fingerprint: r.component for r in simhash.fingerprint_components(prints).collect()}
+    assert same_partition([got[v] for v in signed], plain_groups(values))
+
+
+def test_components(spark, rows):
+    links = [(i, i + 1) for i in range(100, 140)] + [(7, 200), (200, 9), (9, 7), (5, 5), (300, 140), (None, 3)]
+    got = connected_components(spark.createDataFrame(links, "a long, b long"))
+    want = [(n, 100) for n in [*range(100, 141), 300]] + [(n, 7) for n in (7, 9, 200)]
+    assert sorted(rows(got)) == sorted(want)
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def documents(spark):
+    rng = random.Random(3)
+    base = [" ".join(f"w{rng.randrange(500)}" for _ in range(300)) for _ in range(6)]
+    texts = TEXTS[:-1] + base * 3
+    for t in base:
+        words = t.split()
+        words[rng.randrange(300)] = "other"
+        texts.append(" ".join(words))
+    rows = [(i, t, "x") for i, t in enumerate(texts)] + [(None, base[0], None), (0, None, "x")]
+    return spark.createDataFrame(rows, "doc_id long, text string, fingerprint string")
+
+
+def test_groups_of_documents(spark):
+    docs = documents(spark)
+    data = [(r.doc_id, r.text) for r in docs.collect()]
+    prints = [plain_fingerprint(t) for _, t in data]
+    group = plain_groups(prints)
+    smallest = {}
+    for (i, _), g in zip(data, group):
+        smallest[g] = min([x for x in (smallest.get(g), i) if x is not None], default=None)
+    got = simhash.simhash_groups(docs)
+    found = sorted((str(r.doc_id), f"{r.fingerprint & (1 << 64) - 1:016x}", r.component_id) for r in got.collect())
+    assert found == sorted((str(i), f"{p:016x}", smallest[g]) for (i, _), p, g in zip(data, prints, group))
+
+
+def test_one_of_each_group_stays(spark):
+    docs = documents(spark)
+    ids = {r.component_id for r in simhash.simhash_groups(docs).collect()}
+    kept = simhash.one_per_group(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(ids)
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert simhash.simhash_groups(empty).count() == simhash.one_per_group(empty).count() == 0
