@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.llm import mixing, quality, simhash
+from stratalake.llm import bpe, mixing, quality, simhash
 from stratalake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +79,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(read_table(spark, sf_dir, "documents"))
     return groups.withColumn("fingerprint", simhash.hex_digits(F.col("fingerprint")))
+
+
+@query("op3_byte_bpe")
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = bpe.with_decoded(bpe.with_tokens(docs, path).drop("text"), path)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
