@@ -32,16 +32,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from stratalake.llm.common import prepare_workers
+from stratalake.llm.common import Remembering, prepare_workers
 
 # Fixed value: the pattern of this kind of vocabulary.
 PIECE_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-# Parts and pieces that a worker remembers, in each of two generations.
-REMEMBERED = 150_000
-# Longer parts rarely come again.
-LONGEST_REMEMBERED = 48
-
 NEVER = 1 << 60
 
 
@@ -52,25 +47,6 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
-class Remembering(dict):
-    """A function's results for the arguments met lately: two generations of bounded size."""
-
-    def __init__(self, function) -> None:
-        super().__init__()
-        self.function, self.older = function, {}
-
-    def __missing__(self, key):
-        value = self.older.get(key)
-        if value is None:
-            value = self.function(key)
-        if len(key) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
-                self.older = dict(self)
-                self.clear()
-            self[key] = value
-        return value
-
-
 class Vocabulary:
     """Tokens, merges and special tokens of a tokenizer file, with the automaton over the tokens."""
 

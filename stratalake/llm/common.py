@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from stratalake.config import scratch_dir
 
@@ -22,6 +22,31 @@ BATCH_ROWS = 2_000
 BATCH_BYTES = 8 << 20
 
 
+# Arguments whose results a worker remembers, in each of two generations; longer arguments rarely
+# come again.
+REMEMBERED = 150_000
+LONGEST_REMEMBERED = 48
+
+
+class Remembering(dict):
+    """A function's results for the arguments met lately: two generations of bounded size."""
+
+    def __init__(self, function) -> None:
+        super().__init__()
+        self.function, self.older = function, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.function(key)
+        if len(key) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -53,7 +78,7 @@ def column_udf(spark: SparkSession, step: Callable[[list], list], fields: str, t
     Marked as not deterministic, so that a filter on its result doesn't make it run twice.
     """
     prepare_workers(spark)
-    names = [part.split()[0] for part in fields.split(",")]
+    names = [f.name for f in T._parse_datatype_string(fields)]
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.llm import bpe, mixing, quality, simhash
-from stratalake.llm.common import read_table
+from stratalake.llm import bpe, mixing, quality, simhash, toxicity
+from stratalake.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +92,16 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.with_toxicity(docs, model).select(
+        "doc_id",
+        held_out().alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.size("toxic_spans").cast("long").alias("n_spans"),
+    )

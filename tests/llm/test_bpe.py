@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from stratalake.llm import bpe
+from stratalake.llm import bpe, common
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SF_DIR = "/root/testdata/sf0.001"
@@ -49,8 +49,8 @@ def test_any_ids_decode_alike(ids):
 
 
 def test_memory_is_bounded(monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED", 10)
-    known = bpe.Remembering(len)
+    monkeypatch.setattr(common, "REMEMBERED", 10)
+    known = common.Remembering(len)
     assert [known[str(k)] for k in range(100)] == [len(str(k)) for k in range(100)]
     assert len(known) <= 10 and len(known.older) <= 10
     assert known["x" * 100] == 100 and "x" * 100 not in known
