@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.llm import bpe, mixing, quality, simhash, toxicity
+from stratalake.llm import bpe, langid, mixing, quality, simhash, toxicity
 from stratalake.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
         F.size("toxic_spans").cast("long").alias("n_spans"),
     )
+
+
+@query("op9_language")
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    network = langid.fit_languages(docs)
+    return langid.with_language(docs.drop("lang"), network).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
