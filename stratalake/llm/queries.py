@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.llm import bpe, langid, mixing, quality, simhash, toxicity
+from stratalake.llm import bpe, langid, mixing, quality, secrets, simhash, toxicity
 from stratalake.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,21 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.with_language(docs.drop("lang"), network).select(
         "doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
     )
+
+
+@query("op6_secret_scan")
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.with_secrets(docs)
+    base = F.filter("secrets", lambda s: s["rank"] < len(secrets.BASE_RULES))
+    ranks = F.transform("secrets", lambda s: s["rank"])
+    counts = [
+        F.size(F.array_remove(F.transform(ranks, lambda x: x == F.lit(r)), False)).cast("long").alias(f"n_{rule.kind}")
+        for r, rule in enumerate(secrets.BASE_RULES)
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(F.col("secrets")).alias("spans"),
+    )
