@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.llm import bpe, chat, langid, mixing, quality, secrets, simhash, toxicity
+from stratalake.llm import bpe, chat, langid, mixing, quality, secrets, simhash, toxicity, warc
 from stratalake.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,29 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
     messages = said.unionByName(planted).select("conv_id", "turn", "role", F.array(part).alias("parts"))
     return chat.read_back(chat.format_turns(messages))
+
+
+OP8_SQL = r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM d),
+b AS (
+  SELECT *, list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+    list_sum(list_transform(range(5), lambda j: ((strpos('0123456789abcdef',
+      substr(digest, CAST((5 * i + j) // 4 + 1 AS BIGINT), 1)) - 1) >> CAST(3 - (5 * i + j) % 4 AS BIGINT)) % 2
+      * CAST(power(2, 4 - j) AS BIGINT))) AS BIGINT), 1)) AS letters FROM f)
+SELECT page_id, payload_bytes, array_to_string(letters, '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM b
+"""
+
+
+@query("op8_warc_round_trip", OP8_SQL)
+def op8_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    archives = warc.write_archives(pages, warc.archive_folder(spark))
+    kind = pages.schema["page_id"].dataType
+    return warc.read_archives(spark, archives, with_payload=False).filter("gap_reason IS NULL").select(
+        F.col("page_id").cast(kind), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind)
+    )
