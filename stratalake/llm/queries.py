@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.llm import bpe, chat, langid, mixing, quality, secrets, simhash, toxicity, warc
+from stratalake.llm import (
+    bpe,
+    chat,
+    embedding_dedup,
+    langid,
+    mixing,
+    quality,
+    secrets,
+    simhash,
+    toxicity,
+    warc,
+)
 from stratalake.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +185,8 @@ def op8_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, archives, with_payload=False).filter("gap_reason IS NULL").select(
         F.col("page_id").cast(kind), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind)
     )
+
+
+@query("op4_embedding_groups")
+def op4_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_groups(read_table(spark, sf_dir, "embeddings"))
