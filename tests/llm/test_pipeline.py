@@ -1,0 +1,109 @@
+"""The pipeline against plain versions of its stages, one after the other."""
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as pipeline
+from stratalake.llm import toxicity
+from tests.llm.test_bpe import library_ids
+from tests.llm.test_mixing import plain_takes
+from tests.llm.test_secrets import plain_spans
+from tests.llm.test_simhash import plain_fingerprint, plain_groups
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def plain_clean(spark, docs):
+    model = toxicity.fit_toxicity(docs, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
+    scorer = toxicity.Scorer(model)
+    rows = [tuple(r) for r in docs.select("doc_id", "text", "lang", "source", "n_chars").collect()]
+    return [r for r in rows if scorer.score(scorer.word_probabilities([r[1] or ""])[0]) < 0.3]
+
+
+def plain_distinct(rows):
+    groups = plain_groups([plain_fingerprint(r[1]) for r in rows])
+    first = {}
+    for r, g in zip(rows, groups):
+        first[g] = min(first.get(g, r), r, key=lambda x: x[0])
+    return list(first.values())
+
+
+def plain_masked(rows):
+    out = []
+    for i, text, lang, source, chars in rows:
+        spans, masked, at = plain_spans(text), "", 0
+        for start, _, _, end in spans:
+            if start >= at:
+                masked += text[at:start] + "[SECRET]"
+            at = max(at, end)
+        out.append((i, masked + text[at:], lang, source, len(masked + text[at:])) if spans else (i, text, lang, source, chars))
+    return out
+
+
+def plain_mix(rows):
+    _, _, taken = plain_takes([(r[0], r[1], r[3]) for r in rows])
+    by_id = {r[0]: r for r in rows}
+    out = []
+    for (i, _, size), n in taken.items():
+        if size:
+            out += [by_id[i]] * (n // size + (n % size * 2 >= size))
+    return out
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet")
+
+
+def test_stages_equal_plain(spark, documents):
+    want = [tuple(r) for r in documents.select("doc_id", "text", "lang", "source", "n_chars").collect()]
+    plain = {
+        "toxicity": lambda _: plain_clean(spark, documents), "simhash": plain_distinct, "secrets": plain_masked,
+        "mixing": plain_mix, "bpe": lambda rows: [(r[0], r[2], r[3], library_ids(r[1] or "")) for r in rows],
+    }
+    docs = documents
+    for name, stage in pipeline.STAGES:
+        made = stage(spark, docs, SF_DIR)
+        want = plain[name](want)
+        if name != "bpe":
+            assert made.columns == documents.columns
+            got = [tuple(r) for r in made.select("doc_id", "text", "lang", "source", "n_chars").collect()]
+        else:
+            rows = made.collect()
+            assert all(r.decodes and r.n_tokens == len(r.ids) for r in rows)
+            got = [(r.doc_id, r.lang, r.source, list(r.ids)) for r in rows]
+        assert Counter(map(repr, got)) == Counter(map(repr, want)), name
+        docs = pipeline.written(made, "test-stage")
+
+
+def test_run_is_all_stages(spark):
+    got = pipeline.run(spark, "/root/testdata/sf0.001")
+    assert got.count() > 0 and got.filter("NOT decodes").count() == 0
+
+
+def test_odd_rows_pass(spark, documents):
+    few = documents.limit(40).select("doc_id", "text", "lang", "source", F.col("n_chars").cast("int"))
+    odd = spark.createDataFrame(
+        [(None, None, None, None, None), (1, "", "en", "src0", 0), (2, "token = " + "ab12" * 20 + " tail", None, "src0", 93), (2, "token = " + "ab12" * 20 + " tail", None, "src0", 93),
+         (3, "x" * 300_000, "en", None, 300_000), (4, "é " * 50_000, "en", "src1", 100_000)],
+        few.schema,
+    )
+    docs = few.unionByName(odd).withColumn("toxicity", F.lit("own")).withColumn("ids", F.lit(7)).withColumn("secrets", F.lit(None).cast("string"))
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF_DIR)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and {r.toxicity for r in rows} == {"own"} and {r.ids for r in rows} == {7}
+        docs = spark.createDataFrame(rows, out.schema)
+    assert any("[SECRET]" in (r.text or "") for r in docs.collect())
+    assert pipeline.STAGES[-1][1](spark, docs, SF_DIR).count() == docs.count()
+
+
+def test_empty_tables_pass(spark, documents):
+    docs = documents.limit(0)
+    for _, stage in pipeline.STAGES:
+        made = stage(spark, docs, SF_DIR)
+        assert made.count() == 0
+        docs = docs if made.columns == docs.columns else made
