@@ -1,27 +1,23 @@
 """Joins of a large table with a lookup, safe when one key holds a large share of the rows.
 
-``lookup_join`` is the one many-to-one join of the library. Small inputs take an ordinary join
-and leave the strategy to Catalyst. Above a checked input size it first looks for keys that would
-overfill a shuffle partition, in one map-side pass (``approx_top_k``). If there are any, only
-those are spread over as many salts as their share calls for, and only their lookup rows are
-repeated. Every row takes part in exactly one key/salt combination, so the result does not depend
-on which keys were found.
+``lookup_join`` is the one many-to-one join of the library. It is an ordinary join: its strategy is
+left to Catalyst, and a skewed partition is split by adaptive execution when the join runs, also
+where the next step could have used its partitioning (``SESSION_SETTINGS`` asks for that). A caller
+that must not rely on adaptive execution asks for salts: then the rows of each key are counted, and
+those that would overfill a shuffle partition are spread over as many salts as their share calls
+for, with only their lookup rows repeated. Every row takes part in exactly one key/salt
+combination, so the result does not depend on which keys were found.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from stratalake.config import scratch_dir
 from stratalake.functions import spread_hash
-from stratalake.sizing import broadcast_limit, input_bytes, shuffle_width
-
-# Below this many input bytes even a key with a third of all rows is a normal task.
-SKEW_CHECK_BYTES = 2 << 30
-
-# At most this many keys are tracked as hot, which bounds the broadcast side by construction.
-MAX_HOT_KEYS = 256
-TRACKED_ITEMS = 8192
-
+from stratalake.sizing import shuffle_width
 
 def _key_types(fact: DataFrame, lookup: DataFrame, keys: list[str]) -> list[str] | None:
     """Types in which equal keys of both sides hash alike; None if there is no such type.
@@ -47,26 +43,25 @@ def _key_hash(keys: list[str], types: list[str]) -> Column:
 def hot_keys(df: DataFrame, keys: list[str], types: list[str]) -> DataFrame | None:
     """Hashes of the keys that fill two shuffle partitions or more, with their salt count.
 
-    Runs one pass over the key columns, in which each task sends one fixed-size sketch. The at
-    most ``MAX_HOT_KEYS`` rows found are fixed on the driver: both sides of the join must salt by
-    the same list, and a sketch merged twice need not give the same answer. None if no key is hot.
+    Rows are counted per key, exactly, with one row per key and map task in the shuffle. As a hot
+    key has at least two partitions' worth of rows, there are at most half as many hot keys as
+    partitions, which bounds the list that is broadcast. The list is written once, as both sides
+    of the join must salt by the same one. None if no key is hot.
     """
     spark = df.sparkSession
     width = shuffle_width(spark)
+    hashes = df.select(_key_hash(keys, types).alias("_h"))
+    share = F.col("n") / hashes.agg(F.count(F.lit(1))).scalar()
     found = (
-        df.select(_key_hash(keys, types).alias("_h"))
-        .agg(
-            F.expr(f"approx_top_k(_h, {MAX_HOT_KEYS}, {TRACKED_ITEMS})").alias("top"),
-            F.count(F.lit(1)).alias("total"),
-        )
-        .select("total", F.inline("top"))
-        .withColumn("share", F.col("count") / F.col("total"))
-        .filter(F.col("share") * width >= 2)
-        .select("item", F.ceil(F.col("share") * width * 2).cast("int").alias("salts"))
-    ).collect()
-    if not found:
-        return None
-    return spark.createDataFrame([(r.item, r.salts) for r in found], "_h long, _salts int")
+        hashes.groupBy("_h")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(share * width >= 2)
+        .select("_h", F.ceil(share * width * 2).cast("int").alias("_salts"))
+    )
+    path = f"{scratch_dir(spark)}/hot-keys-{uuid.uuid4().hex}"
+    found.write.parquet(path)
+    stored = spark.read.schema(found.schema).parquet(path)
+    return None if stored.isEmpty() else stored
 
 
 def _salt(df: DataFrame, key_hash: Column, hot: DataFrame) -> DataFrame:
@@ -113,24 +108,23 @@ def lookup_join(
     how: str = "left",
     *,
     within: Column | None = None,
-    check_over: int | None = None,
+    salt: bool = False,
     count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``fact`` to a lookup on equal keys; ``how`` is inner, left, left_semi or left_anti.
 
     ``within`` is an extra condition over both sides (their other column names must differ).
-    ``check_over`` is the input size in bytes above which hot keys are looked for, by a job that
-    runs when this function is called. It counts the keys of ``count_on``, by default the fact:
-    give the table the keys come from if the fact is the result of other joins.
+    ``salt`` spreads hot keys, which are looked for by a job that runs when this function is
+    called. It counts the keys of ``count_on``, by default the fact: give the table the keys come
+    from if the fact is the result of other joins. Key types that do not hash alike are an error.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    check_over = SKEW_CHECK_BYTES if check_over is None else check_over
-    spark = fact.sparkSession
-    small_lookup = input_bytes(lookup) <= broadcast_limit(spark)
-    if input_bytes(fact) <= check_over or (small_lookup and check_over > 0):
+    if not salt:
         return _join(fact, lookup, keys, how, within)
     types = _key_types(fact, lookup, keys)
-    hot = hot_keys(fact if count_on is None else count_on, keys, types) if types else None
+    if types is None:
+        raise ValueError(f"keys {keys} have types that cannot be salted; cast both sides alike")
+    hot = hot_keys(fact if count_on is None else count_on, keys, types)
     if hot is None:
         return _join(fact, lookup, keys, how, within)
     key_hash = _key_hash(keys, types)
@@ -145,7 +139,7 @@ def lookup_join(
 
 
 def with_category(
-    products: DataFrame, translation: DataFrame, check_over: int | None = None
+    products: DataFrame, translation: DataFrame, salt: bool = False
 ) -> DataFrame:
     """Products with their English category; ``unknown`` when there is no translation.
 
@@ -155,7 +149,7 @@ def with_category(
     english = translation.groupBy("product_category_name").agg(
         F.min("product_category_name_english").alias("product_category_name_english")
     )
-    joined = lookup_join(products, english, "product_category_name", check_over=check_over)
+    joined = lookup_join(products, english, "product_category_name", salt=salt)
     return joined.withColumn(
         "product_category_name_english",
         F.coalesce("product_category_name_english", F.lit("unknown")),

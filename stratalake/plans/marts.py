@@ -1,12 +1,12 @@
 """Marts from dimensions and facts.
 
-Inputs keep their declared grain: one row per order in orders, per key in dimensions. The quality
-gate before the marts checks that; under it a distinct order count is a plain count, and the
-joins below multiply nothing.
+Inputs keep their declared grain: one row per order in orders, per key in dimensions, which the
+quality gate before the marts checks. Order counts are distinct counts all the same: rows are
+reduced to one per order where they are already partitioned by it.
 
 Facts are reduced to the grain of a join before the join where the mart allows it. What crosses a
 shuffle then has one row per key even if one order holds a third of a fact. Joins that need every
-fact row go through ``lookup_join``, which salts hot keys.
+fact row go through ``lookup_join``, whose skewed partitions adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -56,16 +56,21 @@ def sales_daily(orders: DataFrame, items: DataFrame, payments: DataFrame) -> Dat
 
     Every order counts, also one without items or payments.
     """
-    per_order = (
+    joined = (
         orders.select("order_id", order_day(BOUGHT).alias("order_date"), "is_delivered")
         .join(order_values(items), "order_id", "left")
         .join(order_payments(payments), "order_id", "left")
     )
-    paid = ["paid"] + [f"paid_{t}" for t in PAYMENT_TYPES]
+    sums = ["order_gmv", "paid"] + [f"paid_{t}" for t in PAYMENT_TYPES]
+    # The joins have partitioned the rows by order, so this groups them where they are.
+    per_order = joined.groupBy("order_id", "order_date").agg(
+        F.bool_or("is_delivered").alias("is_delivered"),
+        *[F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in sums],
+    )
     daily = per_order.groupBy("order_date").agg(
         F.count("order_id").alias("order_volume"),
         F.count(F.when(F.col("is_delivered"), F.col("order_id"))).alias("delivered_order_volume"),
-        *[F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in ["order_gmv", *paid]],
+        *[F.sum(c).alias(c) for c in sums],
     )
     return daily.select(
         "order_date",
@@ -134,7 +139,9 @@ def customer_cohorts(orders: DataFrame, customers: DataFrame, **opts) -> DataFra
     months and not orders. Everybody is active in their first month: its row also gives the size
     of the cohort, without a join.
     """
-    placed = orders.select("customer_id", "order_id", month_of(BOUGHT).alias("order_month"))
+    placed = orders.select(
+        "customer_id", "order_id", month_of(BOUGHT).alias("order_month")
+    ).distinct()
     people = customers.filter(F.isnotnull("customer_unique_id"))
     per_person = (
         person_orders(placed, people, **opts)

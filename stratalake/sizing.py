@@ -3,30 +3,25 @@
 from __future__ import annotations
 
 import math
-import re
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Compressed input per shuffle partition. Rows take a few times as much in a shuffle, which keeps
 # a partition well within the memory of a task.
 INPUT_BYTES_PER_PARTITION = 64 << 20
-MAX_SHUFFLE_PARTITIONS = 50_000
-
-SPLIT_SETTING = "spark.sql.files.maxPartitionBytes"
-MAX_SCAN_TASKS = 200_000
-MAX_SPLIT_BYTES = 1 << 30
 
 # Spark's stand-in for "size unknown" is the largest long.
 UNKNOWN_BYTES = 1 << 62
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Sum of the sizes of the plan's leaf relations; nothing is optimised or run.
+    """Sum of the known sizes of the plan's leaf relations; nothing is optimised or run.
 
-    Leaves of unknown size report a huge value, so callers treat them as large.
+    A leaf of unknown size, such as the result of an RDD, adds nothing.
     """
     leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < UNKNOWN_BYTES)
 
 
 def shuffle_width(spark: SparkSession) -> int:
@@ -35,31 +30,13 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def parse_bytes(text: str) -> int:
-    """Bytes of a size setting such as ``134217728b``, ``64m`` or ``-1``."""
-    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)i?b?", text.strip().lower()).groups()
-    return int(number) << (10 * " kmgtp".index(unit or " "))
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """Size in bytes up to which Spark broadcasts a table by itself."""
-    return parse_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-
-
 def fit_session(df: DataFrame) -> None:
     """Make the session fit for an input of this size; small inputs change nothing.
 
     Shuffles get enough partitions, never fewer than the session has: AQE merges partitions that
-    turn out small but does not split those that turn out large. Scans of very large inputs get
-    larger splits, as the blocks of a shuffle are the product of its map and reduce tasks.
+    turn out small but does not split those that turn out large.
     """
-    size = input_bytes(df)
-    if size >= UNKNOWN_BYTES:
-        return
     spark = df.sparkSession
-    split = min(math.ceil(size / MAX_SCAN_TASKS), MAX_SPLIT_BYTES)
-    if split > parse_bytes(spark.conf.get(SPLIT_SETTING)):
-        spark.conf.set(SPLIT_SETTING, str(split))
-    needed = min(math.ceil(size / INPUT_BYTES_PER_PARTITION), MAX_SHUFFLE_PARTITIONS)
+    needed = math.ceil(input_bytes(df) / INPUT_BYTES_PER_PARTITION)
     if needed > shuffle_width(spark):
         spark.conf.set("spark.sql.shuffle.partitions", str(needed))

@@ -45,11 +45,11 @@ def brute(data, how):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("check_over", [0, 1 << 70])
-def test_lookup_join_equals_brute_force(skewed, how, check_over):
+@pytest.mark.parametrize("salt", [True, False])
+def test_lookup_join_equals_brute_force(skewed, how, salt):
     data, facts, lookup = skewed
-    got = joins.lookup_join(facts, lookup, "k", how, check_over=check_over)
-    assert is_salted(got) == (check_over == 0)
+    got = joins.lookup_join(facts, lookup, "k", how, salt=salt)
+    assert is_salted(got) == salt
     names = ["k", "v", "name"] if how in ("inner", "left") else ["k", "v"]
     assert got.columns == names
     assert Counter(tuple(r) for r in got.collect()) == brute(data, how)
@@ -85,25 +85,48 @@ def test_whole_numbers_of_other_widths_still_meet(skewed, fact_type, lookup_type
     data, facts, lookup = skewed
     facts = facts.withColumn("k", F.col("k").cast(fact_type))
     lookup = lookup.withColumn("k", F.col("k").cast(lookup_type))
-    got = joins.lookup_join(facts, lookup, "k", "inner", check_over=0)
+    got = joins.lookup_join(facts, lookup, "k", "inner", salt=True)
     assert is_salted(got)
     assert Counter(tuple(r) for r in got.collect()) == brute(data, "inner")
 
 
-def test_keys_that_may_hash_apart_are_not_salted(spark, skewed, monkeypatch):
-    data, facts, lookup = skewed
-    monkeypatch.setattr(joins, "hot_keys", lambda *_: pytest.fail("looked for hot keys"))
-    got = joins.lookup_join(
-        facts.withColumn("k", F.col("k").cast("double")), lookup, "k", "inner", check_over=0
-    )
-    assert got.count() == sum(brute(data, "inner").values())
+def test_keys_that_may_hash_apart_are_refused(skewed):
+    _, facts, lookup = skewed
+    with pytest.raises(ValueError, match="cannot be salted"):
+        joins.lookup_join(facts.withColumn("k", F.col("k").cast("double")), lookup, "k", salt=True)
+
+
+def test_every_hot_key_is_split(spark):
+    """Far more than a few hundred hot keys: as many as arithmetic allows."""
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "700")
+    try:
+        facts = spark.range(350 * 30).select((F.col("id") % 350).alias("k"), "id")
+        hot = joins.hot_keys(facts, ["k"], ["bigint"])
+        assert hot.count() == 350
+        plan = hot._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan
+        lookup = spark.range(350).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+        got = joins.lookup_join(facts, lookup, "k", "inner", salt=True)
+        assert got.count() == got.filter("v = 2 * k").count() == 350 * 30
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+
+
+def test_keys_can_be_counted_on_another_table(spark, skewed, monkeypatch):
+    _, facts, lookup = skewed
+    counted = []
+    monkeypatch.setattr(joins, "hot_keys", lambda df, *_: counted.append(df))
+    joins.lookup_join(facts.filter("k > 5"), lookup, "k", salt=True, count_on=facts)
+    joins.lookup_join(facts, lookup, "k")
+    assert counted == [facts]
 
 
 def test_text_keys_are_salted(skewed):
     data, facts, lookup = skewed
     facts = facts.withColumn("k", F.col("k").cast("string"))
     lookup = lookup.withColumn("k", F.col("k").cast("string"))
-    got = joins.lookup_join(facts, lookup, "k", "left", check_over=0)
+    got = joins.lookup_join(facts, lookup, "k", "left", salt=True)
     assert is_salted(got)
     want = Counter({(None if k is None else str(k), v, n): c
                     for (k, v, n), c in brute(data, "left").items()})
@@ -117,11 +140,11 @@ def test_salted_rows_spread_over_partitions(spark, skewed):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         sizes = {}
-        for check_over in (0, 1 << 70):
-            got = joins.lookup_join(facts, lookup, "k", "left", check_over=check_over)
+        for salt in (True, False):
+            got = joins.lookup_join(facts, lookup, "k", "left", salt=salt)
             per_part = got.groupBy(F.spark_partition_id().alias("p")).count()
-            sizes[check_over] = per_part.agg(F.max("count")).first()[0]
-        assert sizes[1 << 70] >= 2000 and sizes[0] < 1000
+            sizes[salt] = per_part.agg(F.max("count")).first()[0]
+        assert sizes[False] >= 2000 and sizes[True] < 1000
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -131,8 +154,8 @@ def test_within_adds_a_condition(spark, skewed):
     facts = spark.createDataFrame([(1, 5), (1, 50)], "k long, at int")
     spans = spark.createDataFrame([(1, 0, 10, "a"), (1, 10, 20, "b")], "k long, lo int, hi int, n string")
     inside = (F.col("at") >= F.col("lo")) & (F.col("at") < F.col("hi"))
-    for check_over in (0, 1 << 70):
-        got = joins.lookup_join(facts, spans, "k", "left", within=inside, check_over=check_over)
+    for salt in (True, False):
+        got = joins.lookup_join(facts, spans, "k", "left", within=inside, salt=salt)
         assert sorted(map(tuple, got.select("at", "n").collect())) == [(5, "a"), (50, None)]
 
 

@@ -189,13 +189,13 @@ def test_delivery_sla(shop):
     assert tuple(got[day("2017-03-05")])[1:] == (1, 0, 0, 0.0, 1.0, None, None, None)
 
 
-@pytest.mark.parametrize("check_over", [0, 1 << 70])
-def test_sales_wide(spark, shop, check_over, monkeypatch):
+@pytest.mark.parametrize("salt", [True, False])
+def test_sales_wide(spark, shop, salt, monkeypatch):
     # In a wide shuffle every key of so few rows is hot.
     monkeypatch.setattr("stratalake.operators.joins.shuffle_width", lambda _: 64)
     wide = marts.sales_wide(
         shop["items"], shop["orders"], shop["customers"], shop["products"], shop["payments"],
-        check_over=check_over,
+        salt=salt,
     )
     got = by(wide, "order_id", "order_item_id")
     assert len(got) == 5

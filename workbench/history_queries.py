@@ -150,7 +150,7 @@ def _as_of(t: Roles, **opts) -> DataFrame:
 
 
 query("t07_j16_as_of", _AS_OF_SQL)(_as_of)
-query("t07_j16_as_of_key_search", _AS_OF_SQL)(lambda t: _as_of(t, check_over=0))
+query("t07_j16_as_of_key_search", _AS_OF_SQL)(lambda t: _as_of(t, salt=True))
 
 query(
     "t08_check_finds_breaches",

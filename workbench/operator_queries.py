@@ -101,7 +101,7 @@ query("j05_items_with_products", with_roles(_J05_SQL))(_items_with_products)
 
 # The same join with the search for hot keys forced on; no product is hot in this data.
 query("j05_items_with_products_key_search", with_roles(_J05_SQL))(
-    lambda t: _items_with_products(t, check_over=0)
+    lambda t: _items_with_products(t, salt=True)
 )
 
 # Three flags hold all rows, so each is hot as soon as a shuffle has seven partitions or more.
@@ -114,7 +114,7 @@ query(
         t.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag"),
         aggregates.row_volume(t.table("lineitem"), ["l_returnflag"], "n_flag"),
         "l_returnflag",
-        check_over=0,
+        salt=True,
     )
 )
 
@@ -182,7 +182,7 @@ query("j10_star_key_search", over_marts("FROM m_sales_wide"))(
         t.dim_customers,
         t.dim_products,
         t.fct_payments,
-        check_over=0,
+        salt=True,
     )
 )
 
