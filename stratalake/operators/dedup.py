@@ -24,8 +24,14 @@ def top_n_per_group(
 def latest_per_key(
     df: DataFrame, keys: list[str], order_by: str, tie_break: list[str]
 ) -> DataFrame:
-    """Newest row per key; rows with the same ``order_by`` are settled by ``tie_break``."""
-    order = [F.col(order_by).desc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tie_break]
+    """Newest row per key; rows with the same ``order_by`` are settled by ``tie_break``.
+
+    Before that, of rows loaded together the one from the file that changed last is newer, where
+    the table knows the files' times.
+    """
+    newest = [order_by] + [c for c in ["_source_modified_at"] if c in df.columns and c != order_by]
+    order = [F.col(c).desc_nulls_last() for c in newest]
+    order += [F.col(c).asc_nulls_last() for c in tie_break]
     return top_n_per_group(df, keys, order)
 
 

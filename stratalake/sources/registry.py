@@ -31,13 +31,17 @@ _WRITER = threading.Lock()
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """Path, size and modification time of the files; contents are not read."""
+    """Path, size and modification time of the files; contents are not read.
+
+    ``source_file`` has the form that a row's metadata has, ``path`` the one that readers take.
+    """
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .load(folder)
         .select(
-            F.col("path").alias("source_file"),
+            F.col("path"),
+            F.col("_metadata.file_path").alias("source_file"),
             F.col("length").alias("file_size"),
             F.col("modificationTime").alias("modified_at"),
         )
@@ -65,6 +69,12 @@ class Registry:
         known = self.table().filter(F.col("table_name") == table)
         return files.join(known, ["source_file", "file_size", "modified_at"], "left_anti")
 
+    def batches_of(self, files: DataFrame, table: str) -> list[str]:
+        """Batches in which earlier states of these files were loaded."""
+        known = self.table().filter(F.col("table_name") == table).select("source_file", "batch_id")
+        found = known.join(files.select("source_file"), "source_file").select("batch_id").distinct()
+        return [r["batch_id"] for r in found.collect()]
+
     def record(self, loads: DataFrame) -> None:
         """Upsert one row per (file, table) after a successful load."""
         with _WRITER:

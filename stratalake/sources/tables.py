@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -72,6 +73,46 @@ def replace_table(df: DataFrame, name: str, path: str) -> str:
     return target
 
 
+def ensure_partitioned(
+    spark: SparkSession, name: str, path: str, schema: T.StructType, column: str
+) -> None:
+    """A table partitioned by a text column; columns that ``schema`` adds are added to it.
+
+    A table of that name without the partitions is dropped from the catalog, its files are kept.
+    """
+    data = T.StructType([f for f in schema.fields if f.name != column])
+    if spark.catalog.tableExists(name):
+        parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+        if parts == [column]:
+            known = set(spark.table(name).columns)
+            added = T.StructType([f for f in data.fields if f.name not in known])
+            if added.fields:
+                spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns_ddl(added)})")
+            return
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(
+        f"CREATE TABLE {name} ({columns_ddl(data)}, `{column}` STRING) USING parquet "
+        f"PARTITIONED BY (`{column}`) LOCATION '{path.rstrip('/')}/table'"
+    )
+
+
+def partition_values(spark: SparkSession, name: str) -> list[str]:
+    """Values of the table's one partition column."""
+    rows = spark.sql(f"SHOW PARTITIONS {name}").collect()
+    return [unquote(r[0].split("=", 1)[1]) for r in rows]
+
+
+def point_partition(spark: SparkSession, name: str, column: str, value: str, folder: str) -> None:
+    """Make a partition read a folder, adding or moving it."""
+    part = f"PARTITION (`{column}` = '{value}')"
+    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {part} LOCATION '{folder}'")
+    spark.sql(f"ALTER TABLE {name} {part} SET LOCATION '{folder}'")
+
+
+def drop_partition(spark: SparkSession, name: str, column: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{column}` = '{value}')")
+
+
 def append_rows(df: DataFrame, name: str) -> None:
     """Add rows to a bound table, matching columns by name."""
     spark = df.sparkSession

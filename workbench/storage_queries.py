@@ -89,7 +89,7 @@ def csv_scan(t):
     raw = read_csv(t.spark, _landing(layout), pathGlobFilter=spec.pattern)
     loaded = add_metadata(rename_columns(raw, spec.renames), BATCH.ingest_ts, BATCH.batch_id)
     good, _ = split_rejects(apply_casts(loaded, spec.casts))
-    return good.drop("_ingest_ts", "_source_file", "_batch_id")
+    return good.drop("_source_modified_at", "_ingest_ts", "_source_file", "_batch_id")
 
 
 _PAYMENTS_SQL = with_roles(
