@@ -5,7 +5,8 @@ The field tags each word as toxic or not. A word's score is the sum of the weigh
 labelled, words are not, so training words get their labels from the documents: a feature is
 evidence if it is seen in toxic documents in enough different surroundings and rarely elsewhere,
 and a word of a toxic document with such a feature is labelled toxic. Counting surroundings and
-not occurrences keeps copied passages from making all of their words evidence.
+not occurrences keeps copied passages from making all of their words evidence, and texts that are
+mostly copied from others are left out of training.
 
 Forward-backward gives each word's probability of being toxic. Words above one half make up the
 offending spans; the largest probability, the expected number of toxic words and their share make the
@@ -48,10 +49,13 @@ EVIDENCE_SHARE = 0.6
 PRIOR_SEEN = 3.0
 LEAST_TOXIC_SEEN = 4
 BEGINNINGS = range(4, 9)
+# Texts with a larger share of four-word windows from earlier texts are left out of training.
+MOST_COPIED = 0.3
 # Words on each side of one with a feature that training looks at.
 SURROUNDINGS = 8
 ROUNDS = 60
 STEP = 0.3
+TEXTS_TOGETHER = 200
 SHRINK = 1e-4
 
 WORD = re.compile(r"\w+")
@@ -190,6 +194,21 @@ class Scorer:
         return out
 
 
+def without_copies(texts: list[list[str]]) -> list[int]:
+    """Places of the texts that are not for the most part copied from those before.
+
+    Copies with small changes would show all of their words in many surroundings.
+    """
+    seen: set[int] = set()
+    kept = []
+    for k, words in enumerate(texts):
+        own = {hash(x) for x in zip(words, words[1:], words[2:], words[3:])}
+        if not own or len(own & seen) <= MOST_COPIED * len(own):
+            kept.append(k)
+            seen |= own
+    return kept
+
+
 def find_evidence(texts: list[list[str]], labels: list[int]) -> dict[str, float]:
     """Features that tell toxic documents, with the share of toxic ones among their surroundings."""
     seen: dict[str, set] = defaultdict(set)
@@ -197,10 +216,10 @@ def find_evidence(texts: list[list[str]], labels: list[int]) -> dict[str, float]
     kinds = Counter()
     for words, label in zip(texts, labels):
         low = [w.lower() for w in words]
-        for k, w in enumerate(low):
-            around = hash((low[k - 1] if k else "", low[k + 1] if k + 1 < len(low) else ""))
-            kinds[label] += 1
-            (toxic if label else seen)[w].add(around)
+        kinds[label] += len(low)
+        own = toxic if label else seen
+        for w, around in zip(low, zip(["", *low], [*low[1:], ""])):
+            own[w].add(hash(around))
     share = kinds[1] / max(1, sum(kinds.values()))
     # A feature has the surroundings of all of its words.
     n_toxic, n_all = Counter(), Counter()
@@ -222,6 +241,10 @@ def train(texts: list[str], labels: list[int], toxic_share: float) -> Model:
     if len(set(labels)) < 2:
         return Model(constant=toxic_share)
     words = [WORD.findall(t) for t in texts]
+    kept = without_copies(words)
+    texts, labels, words = ([x[k] for k in kept] for x in (texts, labels, words))
+    if len(set(labels)) < 2:
+        return Model(constant=toxic_share)
     found = find_evidence(words, labels)
     if not found:
         return Model(constant=toxic_share)
@@ -306,7 +329,13 @@ def _fit_curve(model: Model, texts: list[str], labels: list[int], toxic_share: f
     """Logistic curve from a document's evidence to its label, at the labels' own shares."""
     scorer = Scorer(model)
     y = np.array(labels, float)
-    x = np.array([(1.0, *scorer.evidence(p)) for t in texts for p in scorer.word_probabilities([t])])
+    x = np.array(
+        [
+            (1.0, *scorer.evidence(p))
+            for at in range(0, len(texts), TEXTS_TOGETHER)
+            for p in scorer.word_probabilities(texts[at : at + TEXTS_TOGETHER])
+        ]
+    )
     weight = np.where(y == 1, toxic_share / max(1, y.sum()), (1 - toxic_share) / max(1, (1 - y).sum()))
     c = np.zeros(x.shape[1])
     for _ in range(50):  # Newton's method with a small ridge

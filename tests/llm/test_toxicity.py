@@ -50,6 +50,20 @@ def test_copied_passages_are_no_evidence():
     assert "idiot$" in found and "alpha$" not in found and "gamma$" not in found
 
 
+def test_near_copies_are_left_out_of_training():
+    rng = np.random.default_rng(0)
+    base = [f"w{k}" for k in rng.integers(0, 500, 300)]
+    copies = []
+    for _ in range(50):
+        words = list(base)
+        for k in rng.integers(0, 300, 15):
+            words[k] = f"x{rng.integers(1e6)}"
+        copies.append(words)
+    others = [[f"w{k}" for k in rng.integers(0, 500, 300)] for _ in range(20)]
+    assert tox.without_copies(copies + others) == [0, *range(50, 70)]
+    assert tox.without_copies([[], ["a"], ["a"]]) == [0, 1, 2]
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     return {r.doc_id: r for r in QUERIES["op5_toxicity"](spark, SF_DIR).collect()}
