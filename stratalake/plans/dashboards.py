@@ -203,19 +203,15 @@ def daily_payment_mix(sales_daily: DataFrame) -> DataFrame:
     ).unpivot("order_date", list(mix), "payment_type", "payment_share")
 
 
-def retention_heatmap(customer_cohorts: DataFrame, months: int) -> DataFrame:
-    """Retention with one column per month since the first order, 0 to ``months``.
+def retention_heatmap(customer_cohorts: DataFrame) -> DataFrame:
+    """Retention per cohort and month since the first order, one row for each cell of the map.
 
-    The column list is fixed, so the pivot needs no pass over the data to find it.
+    The long form holds any number of months; laying it out in columns is left to the drawing.
     """
-    numbers = list(range(months + 1))
-    pivoted = (
-        customer_cohorts.groupBy("cohort_month")
-        .pivot("cohort_month_number", numbers)
-        .agg(F.max("retention_rate"))
-    )
-    return pivoted.withColumnsRenamed({str(i): f"month_{i}" for i in numbers}).orderBy(
-        "cohort_month"
+    return (
+        customer_cohorts.groupBy("cohort_month", "cohort_month_number")
+        .agg(F.max("retention_rate").alias("retention_rate"))
+        .orderBy("cohort_month", "cohort_month_number")
     )
 
 
