@@ -39,13 +39,24 @@ class Remembering(dict):
         value = self.older.get(key)
         if value is None:
             value = self.function(key)
-        if len(key) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
-                self.older = dict(self)
-                self.clear()
-            self[key] = value
+        self.put([key], [value])
         return value
 
+    def put(self, keys: list, values: list) -> None:
+        """Remember results; a full generation becomes the older one."""
+        self.update((k, v) for k, v in zip(keys, values) if len(k) <= LONGEST_REMEMBERED)
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+
+    def unknown(self, keys: set) -> list:
+        """The keys whose results are not remembered; those of the older generation are renewed."""
+        older = self.older
+        missing = [k for k in keys if k not in self]
+        again = {k: older[k] for k in missing if k in older}
+        self.update(again)
+        return [k for k in missing if k not in again]
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -48,6 +48,21 @@ def test_any_ids_decode_alike(ids):
     assert bpe.vocabulary(PATH).decode(ids) == LIBRARY.decode(ids, skip_special_tokens=False)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("abentirsh  \n'.,19éü漢"), max_size=40) | st.text(max_size=30) | st.none(), max_size=8))
+def test_many_texts_at_once(texts):
+    got = bpe.vocabulary(PATH).encode_all(texts)
+    assert [list(memoryview(g).cast("i")) for g in got] == [library_ids(t or "") for t in texts]
+
+
+def test_pieces_side_by_side_equal_one_by_one(monkeypatch):
+    monkeypatch.setattr(bpe, "BYTES_TOGETHER", 1024)
+    known = bpe.vocabulary(PATH)
+    pieces = [(" " + "thereonisterlaéü"[k % 11 : k % 11 + k % 7] * (k % 9 + 1)).encode() for k in range(300)]
+    got = [list(memoryview(g).cast("i")) for g in known.tokens_of_pieces(pieces)]
+    assert got == [known.piece_tokens(p) for p in pieces]
+
+
 def test_memory_is_bounded(monkeypatch):
     monkeypatch.setattr(common, "REMEMBERED", 10)
     known = common.Remembering(len)
