@@ -127,7 +127,40 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op6_secret_scan")
+def _spans_sql(rank: int, rule: secrets.Rule) -> str:
+    """The spans of one rule: texts between matches and matches alternate, so starts are sums."""
+    pattern = rule.pattern.replace("'", "''")
+    return f"""list_filter(list_transform(range(1, len(m{rank}) + 1), lambda i: {{
+      'start': CAST(list_sum(list_transform(b{rank}[1:i], lambda x: length(x)))
+        + coalesce(list_sum(list_transform(m{rank}[1:i - 1], lambda x: length(x))), 0) AS BIGINT),
+      'rank': {rank}, 'kind': '{rule.kind}', 'size': length(m{rank}[i]),
+      'good': length(regexp_extract_all(text, '{pattern}', {rule.group})[i]) >= {rule.least}
+    }}), lambda s: s.good)"""
+
+
+def _op6_sql() -> str:
+    parts = []
+    for rank, rule in enumerate(secrets.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        parts.append(f"regexp_extract_all(text, '{pattern}') AS m{rank}, string_split_regex(text, '{pattern}') AS b{rank}")
+    spans = " || ".join(_spans_sql(rank, rule) for rank, rule in enumerate(secrets.RULES))
+    line = "lambda s: s.kind || ':' || CAST(s.start AS VARCHAR) || ':' || CAST(s.start + s.size AS VARCHAR)"
+    base = len(secrets.BASE_RULES)
+    counts = ", ".join(
+        f"CAST(len(list_filter(spans, lambda s: s.rank = {rank})) AS BIGINT) AS n_{rule.kind}"
+        for rank, rule in enumerate(secrets.BASE_RULES)
+    )
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    p AS (SELECT doc_id, text, {", ".join(parts)} FROM d),
+    s AS (SELECT doc_id, list_sort({spans}) AS spans FROM p)
+    SELECT doc_id, {counts},
+      sha256(array_to_string(list_transform(
+        list_filter(spans, lambda s: s.rank < {base}), {line}), ',')) AS base_sha256,
+      array_to_string(list_transform(spans, {line}), ',') AS spans
+    FROM s"""
+
+
+@query("op6_secret_scan", _op6_sql())
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.with_secrets(docs)
@@ -145,7 +178,25 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op7_chat_format")
+OP7_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+t AS (
+  SELECT *, CASE WHEN role = 'assistant' THEN text ELSE '' END AS learned,
+    replace(replace(role, '\', '\\'), chr(10), '\n') AS head FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role)) AS turns_sha256,
+  CAST(sum(length(learned)) AS BIGINT) AS loss_chars,
+  sha256(string_agg(learned, '' ORDER BY turn, role)) AS loss_sha256,
+  CAST(sum(length('<|im_start|>') + length(head) + len(regexp_extract_all(head, '<\\*\|')) + 1 + length(text)
+    + len(regexp_extract_all(text, '<\\*\|')) + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
+@query("op7_chat_format", OP7_SQL)
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one whose texts look like the template, formatted and read back."""
     said = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
