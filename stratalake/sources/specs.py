@@ -19,9 +19,10 @@ ORDER_STATUSES = [
 ]
 PAYMENT_TYPES = ["credit_card", "boleto", "voucher", "debit_card", "not_defined"]
 REVIEW_SCORES = [1, 2, 3, 4, 5]
-STATE_CODES = (
-    "AC AL AM AP BA CE DF ES GO MA MG MS MT PA PB PE PI PR RJ RN RO RR RS SC SE SP TO".split()
-)
+STATE_CODES = [
+    "AC", "AL", "AM", "AP", "BA", "CE", "DF", "ES", "GO", "MA", "MG", "MS", "MT", "PA",
+    "PB", "PE", "PI", "PR", "RJ", "RN", "RO", "RR", "RS", "SC", "SE", "SP", "TO",
+]
 
 
 @dataclass(frozen=True)

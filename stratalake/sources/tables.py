@@ -7,6 +7,7 @@ and a failed write leaves the table as it was.
 
 from __future__ import annotations
 
+import datetime
 import uuid
 from functools import reduce
 from urllib.parse import unquote
@@ -51,11 +52,17 @@ def _same_columns(a: T.StructType, b: T.StructType) -> bool:
 def bind_table(spark: SparkSession, name: str, path: str, schema: T.StructType) -> None:
     """Make ``name`` read ``path``, creating the table or moving it.
 
-    A table whose columns stay the same is moved in one catalog change. With other columns the
-    entry is dropped and created again; the files of an external table are not touched.
+    A table whose columns stay, or that gets more, is moved without ever being absent. When columns
+    leave or change their type the entry is dropped and created again; the files of an external
+    table are not touched.
     """
     if spark.catalog.tableExists(name):
-        if _same_columns(spark.table(name).schema, schema):
+        known = spark.table(name).schema
+        added = T.StructType([f for f in schema.fields if f.name not in known.fieldNames()])
+        kept = T.StructType([f for f in schema.fields if f.name in known.fieldNames()])
+        if added.fields and _same_columns(known, kept):
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns_ddl(added)})")
+        if _same_columns(known, kept):
             if table_location(spark, name).split(":", 1)[-1] != path.split(":", 1)[-1]:
                 spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
                 spark.catalog.refreshTable(name)
@@ -113,6 +120,44 @@ def drop_partition(spark: SparkSession, name: str, column: str, value: str) -> N
     spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{column}` = '{value}')")
 
 
+def live_folders(spark: SparkSession, name: str) -> set[str]:
+    """Paths, without their scheme, that the catalog reads for a table."""
+    found = [table_location(spark, name)]
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+            parts = ", ".join(
+                f"`{k}` = '{unquote(v)}'" for k, v in (p.split("=", 1) for p in row[0].split("/"))
+            )
+            detail = spark.sql(f"DESCRIBE EXTENDED {name} PARTITION ({parts})")
+            found.append(detail.filter("col_name = 'Location'").first()["data_type"])
+    return {_bare(path) for path in found}
+
+
+def _bare(path: str) -> str:
+    return "/" + path.split(":", 1)[-1].strip("/")
+
+
+def remove_dead_folders(
+    spark: SparkSession, name: str, path: str, older_than: datetime.timedelta
+) -> list[str]:
+    """Remove the folders directly below a table's path that the catalog reads no more.
+
+    A folder stays if the table or one of its partitions is in it, however old it is, or if it
+    changed within ``older_than``: give more than the longest query, which may still read it.
+    """
+    live = live_folders(spark, name)
+    fs, top = _file_system(spark, path)
+    limit = (datetime.datetime.now() - older_than).timestamp() * 1000
+    removed = []
+    for status in fs.listStatus(top) if fs.exists(top) else []:
+        folder = _bare(status.getPath().toString())
+        used = any(f == folder or f.startswith(f"{folder}/") for f in live)
+        if status.isDirectory() and not used and status.getModificationTime() < limit:
+            fs.delete(status.getPath(), True)
+            removed.append(folder)
+    return removed
+
+
 def append_rows(df: DataFrame, name: str) -> None:
     """Add rows to a bound table, matching columns by name."""
     spark = df.sparkSession

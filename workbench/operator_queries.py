@@ -293,6 +293,25 @@ query("a02_distinct_volume_approximate")(
     )
 )
 
+# The sketch has a relative standard deviation of 5 %; three of them bound nearly all groups.
+query(
+    "a02_distinct_volume_within_error",
+    "SELECT l_suppkey, true AS is_close FROM lineitem GROUP BY 1",
+)(
+    lambda t: aggregates.distinct_volume(t.table("lineitem"), ["l_suppkey"], "l_orderkey")
+    .withColumnRenamed("distinct_volume", "exact")
+    .join(
+        aggregates.distinct_volume(
+            t.table("lineitem"), ["l_suppkey"], "l_orderkey", approximate=True
+        ),
+        "l_suppkey",
+    )
+    .select(
+        "l_suppkey",
+        (F.abs(F.col("distinct_volume") - F.col("exact")) <= 0.15 * F.col("exact")).alias("is_close"),
+    )
+)
+
 query(
     "a03_distinct_volume_if",
     """SELECT l_suppkey, count(DISTINCT l_orderkey) AS distinct_volume,

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators import quality
 from stratalake.operators.quality import TableChecks
-from stratalake.plans import checks
+from stratalake.plans import checks, silver
 from stratalake.sources.specs import PAYMENT_TYPES
 from workbench.bindings import ratio_sql
 from workbench.history_queries import customers_history, customers_sql
@@ -144,7 +144,10 @@ query("q04_q08_source_suite", suite_sql(checks.SOURCE_CHECKS))(
     lambda t: quality.run_suite(raw_tables(t), checks.SOURCE_CHECKS)
 )
 query("q08_staging_suite", suite_sql(checks.STAGING_CHECKS))(
-    lambda t: quality.run_suite({"stg_orders": t.orders}, checks.STAGING_CHECKS)
+    lambda t: quality.run_suite(
+        {"stg_orders": silver.stg_orders(t.orders.withColumn("_source_file", F.lit("landing")))},
+        checks.STAGING_CHECKS,
+    )
 )
 query("q08_silver_suite", suite_sql(checks.SILVER_CHECKS))(
     lambda t: quality.run_suite(silver_tables(t), checks.SILVER_CHECKS)
