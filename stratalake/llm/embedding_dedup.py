@@ -32,12 +32,14 @@ from stratalake.llm.common import prepare_workers, written
 from stratalake.llm.components import connected_components
 
 THRESHOLD = 0.95
-REACH = 3.5
+REACH = 1.8
 # Vectors (and bytes of them) that train the centres, and the most centres there are.
 SAMPLE = 20_000
 SAMPLE_BYTES = 64 << 20
 MOST_CENTRES = 4096
 VECTORS_PER_CENTRE = 8
+# Centres for each root of the number of vectors: more centres make cells that few visit.
+CENTRES_PER_ROOT = 4
 ROUNDS = 10
 # Vectors of a chunk of a crowded cell.
 CHUNK = 2048
@@ -238,7 +240,7 @@ def train_cells(distinct: DataFrame, threshold: float, most_centres: int = MOST_
     cells, first = {}, 0
     for places, unit in _by_dimension(sample) if len(sample) else ():
         share = n * len(places) / len(sample)
-        count = max(1, min(round(math.sqrt(share)), len(places) // VECTORS_PER_CENTRE, most_centres))
+        count = max(1, min(round(CENTRES_PER_ROOT * math.sqrt(share)), len(places) // VECTORS_PER_CENTRE, most_centres))
         centres = train_centres(unit, count)
         cells[unit.shape[1]] = (centres, first, reach(threshold, unit.shape[1]))
         first += len(centres)

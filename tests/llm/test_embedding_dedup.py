@@ -81,13 +81,13 @@ def test_borders_are_reached():
     rng = np.random.default_rng(1)
     base = dedup.unit_rows(rng.normal(size=(4000, 64)))
     pairs = np.array([noisy(rng, b, 0.9501) for b in base])
-    cells = {64: (dedup.train_centres(base, 120), 0, dedup.reach(0.95, 64))}
+    cells = {64: (dedup.train_centres(base, 250), 0, dedup.reach(0.95, 64))}
     homes, row, cell = dedup.assign(base, cells)
     homes2, row2, cell2 = dedup.assign(pairs, cells)
     seen, seen2 = set(zip(row.tolist(), cell.tolist())), set(zip(row2.tolist(), cell2.tolist()))
     met = [(k, homes2[k]) in seen or (k, homes[k]) in seen2 for k in range(4000)]
     assert np.mean(met) >= 0.999
-    assert len(row) < 4000 * 120 * 0.1
+    assert len(row) < 4000 * 250 * 0.04
 
 
 def test_empty_table(spark):
