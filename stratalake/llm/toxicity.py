@@ -29,8 +29,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
-from collections.abc import Iterable
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -52,10 +52,13 @@ BEGINNINGS = range(4, 9)
 # Texts with a larger share of four-word windows from earlier texts are left out of training.
 MOST_COPIED = 0.3
 # Words on each side of one with a feature that training looks at.
-SURROUNDINGS = 8
-ROUNDS = 60
-STEP = 0.3
-TEXTS_TOGETHER = 200
+SURROUNDINGS = 4
+ROUNDS = 40
+STEP = 0.4
+TEXTS_TOGETHER = 100
+# Words whose chains training evaluates together, and slots for windows of words.
+WORDS_TOGETHER = 200_000
+WINDOW_SLOTS = 1 << 26
 SHRINK = 1e-4
 
 WORD = re.compile(r"\w+")
@@ -194,124 +197,143 @@ class Scorer:
         return out
 
 
-def without_copies(texts: list[list[str]]) -> list[int]:
+def number_words(texts: Iterable[str]) -> tuple[list[np.ndarray], list[str]]:
+    """Each text's words as numbers, and the words in lower case by their numbers."""
+    number: dict[str, int] = {}
+    docs = [
+        np.fromiter((number.setdefault(w.lower(), len(number)) for w in WORD.findall(t)), np.int64)
+        for t in texts
+    ]
+    return docs, list(number)
+
+
+def without_copies(docs: list[np.ndarray]) -> list[int]:
     """Places of the texts that are not for the most part copied from those before.
 
-    Copies with small changes would show all of their words in many surroundings.
+    Copies with small changes would show all of their words in many surroundings. Windows of four
+    words are remembered by hash, one byte each.
     """
-    seen: set[int] = set()
-    kept = []
-    for k, words in enumerate(texts):
-        own = {hash(x) for x in zip(words, words[1:], words[2:], words[3:])}
-        if not own or len(own & seen) <= MOST_COPIED * len(own):
+    seen, kept = np.zeros(WINDOW_SLOTS, bool), []
+    for k, d in enumerate(docs):
+        mixed = d[: max(0, len(d) - 3)].copy()
+        for step in range(1, 4):
+            mixed = mixed * 0x9E3779B1 + d[step : step + len(mixed)]
+        slots = np.unique((mixed ^ (mixed >> 29)) % WINDOW_SLOTS)
+        if not len(slots) or seen[slots].mean() <= MOST_COPIED:
             kept.append(k)
-            seen |= own
+            seen[slots] = True
     return kept
 
 
-def find_evidence(texts: list[list[str]], labels: list[int]) -> dict[str, float]:
+def _surroundings(docs: list[np.ndarray], words: int) -> np.ndarray:
+    """In how many different surroundings (word before, word after) each word is seen."""
+    if not docs:
+        return np.zeros(words, np.int64)
+    word = np.concatenate(docs)
+    before = np.concatenate([np.r_[-1, d[:-1]] if len(d) else d for d in docs])
+    after = np.concatenate([np.r_[d[1:], -1] if len(d) else d for d in docs])
+    around = (before + 1) * (words + 1) + after + 1
+    order = np.lexsort((around, word))
+    word, around = word[order], around[order]
+    new = np.r_[True, (word[1:] != word[:-1]) | (around[1:] != around[:-1])] if len(word) else word
+    return np.bincount(word[new], minlength=words)
+
+
+def find_evidence(docs: list[np.ndarray], labels: list[int], names: list[str]) -> dict[str, float]:
     """Features that tell toxic documents, with the share of toxic ones among their surroundings."""
-    seen: dict[str, set] = defaultdict(set)
-    toxic: dict[str, set] = defaultdict(set)
-    kinds = Counter()
-    for words, label in zip(texts, labels):
-        low = [w.lower() for w in words]
-        kinds[label] += len(low)
-        own = toxic if label else seen
-        for w, around in zip(low, zip(["", *low], [*low[1:], ""])):
-            own[w].add(hash(around))
-    share = kinds[1] / max(1, sum(kinds.values()))
+    by_label = [[d for d, y in zip(docs, labels) if y == label] for label in (0, 1)]
+    tokens = [sum(map(len, own)) for own in by_label]
+    share = tokens[1] / max(1, sum(tokens))
+    clean, toxic = (_surroundings(own, len(names)) for own in by_label)
     # A feature has the surroundings of all of its words.
-    n_toxic, n_all = Counter(), Counter()
-    for group, counters in ((toxic, (n_toxic, n_all)), (seen, (n_all,))):
-        for w, around in group.items():
-            for f in features_of(w):
-                for c in counters:
-                    c[f] += len(around)
+    n_toxic: Counter = Counter()
+    for k in np.flatnonzero(toxic).tolist():
+        for f in features_of(names[k]):
+            n_toxic[f] += int(toxic[k])
+    candidates = {f: n for f, n in n_toxic.items() if n >= LEAST_TOXIC_SEEN}
+    n_all: Counter = Counter()
+    for k, n in enumerate((clean + toxic).tolist()):
+        for f in features_of(names[k]):
+            if f in candidates:
+                n_all[f] += n
     out = {}
-    for f, k in n_toxic.items():
-        part = (k + PRIOR_SEEN * share) / (n_all[f] + PRIOR_SEEN)
-        if k >= LEAST_TOXIC_SEEN and part >= EVIDENCE_SHARE:
+    for f, n in candidates.items():
+        part = (n + PRIOR_SEEN * share) / (n_all[f] + PRIOR_SEEN)
+        if part >= EVIDENCE_SHARE:
             out[f] = part
     return out
 
 
 def train(texts: list[str], labels: list[int], toxic_share: float) -> Model:
     """Fit the field to words and the curve to documents. ``toxic_share``: of all labels."""
+    docs, words = number_words(texts)
+    kept = without_copies(docs)
+    texts, labels, docs = ([x[k] for k in kept] for x in (texts, labels, docs))
     if len(set(labels)) < 2:
         return Model(constant=toxic_share)
-    words = [WORD.findall(t) for t in texts]
-    kept = without_copies(words)
-    texts, labels, words = ([x[k] for k in kept] for x in (texts, labels, words))
-    if len(set(labels)) < 2:
-        return Model(constant=toxic_share)
-    found = find_evidence(words, labels)
+    found = find_evidence(docs, labels, words)
     if not found:
         return Model(constant=toxic_share)
     names = sorted(found)
     number = {f: i for i, f in enumerate(names)}
-    # Distinct words and their features as one sparse table.
-    kinds: dict[str, int] = {}
-    rows, cols = [], []
+    # Words and their features as one sparse table.
+    pairs = [(k, number[f]) for k, w in enumerate(words) for f in features_of(w) if f in number]
+    rows, cols = np.array(pairs).T
+    known = np.zeros(len(words), bool)
+    known[rows] = True
     tokens, tags, first = [], [], []
-    features: dict[str, list[int]] = {}
-    for ws, label in zip(words, labels):
-        for w in ws:
-            if w not in features:
-                features[w] = [number[f] for f in features_of(w) if f in number]
-        own = [features[w] for w in ws]
-        marked = np.zeros(len(ws), bool)
-        for k, fs in enumerate(own):
-            if fs:
-                marked[max(0, k - SURROUNDINGS) : k + SURROUNDINGS + 1] = True
-        before = -2
-        for k in np.flatnonzero(marked).tolist():
-            w = ws[k].lower()
-            if w not in kinds:
-                kinds[w] = len(kinds)
-                rows.extend([kinds[w]] * len(own[k]))
-                cols.extend(own[k])
-            tokens.append(kinds[w])
-            tags.append(int(label and bool(own[k])))
-            first.append(k != before + 1)
-            before = k
-    token, tag, first = np.array(tokens), np.array(tags), np.array(first)
-    rows, cols = np.array(rows, int), np.array(cols, int)
+    for d, label in zip(docs, labels):
+        own = known[d]
+        below = np.r_[0, np.cumsum(own)]
+        at = np.arange(len(d))
+        near = below[np.minimum(at + SURROUNDINGS + 1, len(d))] - below[np.maximum(at - SURROUNDINGS, 0)]
+        place = np.flatnonzero(near)
+        tokens.append(d[place])
+        tags.append(own[place] & bool(label))
+        first.append(np.r_[True, np.diff(place) > 1] if len(place) else np.zeros(0, bool))
     parameters = np.zeros(len(names) + 1 + 6)
     parameters[len(names)] = NO_FEATURE
-    model = _climb(parameters, names, token, tag, first, rows, cols, len(kinds))
+    chains = np.concatenate(tokens), np.concatenate(tags).astype(np.int64), np.concatenate(first)
+    model = _climb(parameters, names, *chains, rows, cols, len(words))
     _fit_curve(model, texts, labels, toxic_share)
     return model
 
 
+def _pieces(first: np.ndarray) -> Iterator[slice]:
+    """The chains in pieces of bounded size, cut where a chain begins."""
+    begins, at = np.flatnonzero(first), 0
+    while at < len(first):
+        after = np.searchsorted(begins, at + WORDS_TOGETHER)
+        end = int(begins[after]) if after < len(begins) else len(first)
+        yield slice(at, end)
+        at = end
+
+
 def _climb(parameters, names, token, tag, first, rows, cols, kinds) -> Model:
     """Gradient ascent on the likelihood of the tags, with step sizes by parameter."""
     n = len(names)
-    inside = np.flatnonzero(~first)
-    begins = np.flatnonzero(first)
-    seen_moves = np.zeros((2, 2))
-    np.add.at(seen_moves, (tag[inside - 1], tag[inside]), 1)
-    seen_start = np.bincount(tag[begins], minlength=2)
     mean, spread = np.zeros_like(parameters), np.zeros_like(parameters)
     for t in range(1, ROUNDS + 1):
         weights, bias = parameters[:n], parameters[n]
         moves = np.exp(parameters[n + 1 : n + 5].reshape(2, 2))
         start = np.exp(parameters[n + 5 : n + 7])
-        by_kind = bias + np.bincount(rows, weights[cols], minlength=kinds)
-        odds = np.exp(np.clip(by_kind, -30, 30))[token]
-        ahead, back = both_ways(odds, first, moves, start)
-        toxic = ahead[:, 1] * back[:, 1] / odds
-        p = toxic / (toxic + ahead[:, 0] * back[:, 0])
-        pairs = ahead[inside - 1][:, :, None] * moves[None] * back[inside][:, None, :]
-        pairs /= pairs.sum(axis=(1, 2), keepdims=True)
-        own = np.bincount(token, tag - p, minlength=kinds)
+        by_kind = np.exp(np.clip(bias + np.bincount(rows, weights[cols], minlength=kinds), -30, 30))
+        own, move_slope, start_slope = np.zeros(kinds), np.zeros((2, 2)), np.zeros(2)
+        for piece in _pieces(first):
+            odds, y, begin = by_kind[token[piece]], tag[piece], first[piece]
+            ahead, back = both_ways(odds, begin, moves, start)
+            toxic = ahead[:, 1] * back[:, 1] / odds
+            p = toxic / (toxic + ahead[:, 0] * back[:, 0])
+            inside = np.flatnonzero(~begin)
+            pairs = ahead[inside - 1][:, :, None] * moves[None] * back[inside][:, None, :]
+            pairs /= pairs.sum(axis=(1, 2), keepdims=True)
+            own += np.bincount(token[piece], y - p, minlength=kinds)
+            move_slope += np.bincount(2 * y[inside - 1] + y[inside], minlength=4).reshape(2, 2)
+            move_slope -= pairs.sum(axis=0)
+            start_slope += np.bincount(y[begin], minlength=2)
+            start_slope -= np.array([(1 - p[begin]).sum(), p[begin].sum()])
         slope = np.concatenate(
-            [
-                np.bincount(cols, own[rows], minlength=n),
-                [own.sum()],
-                (seen_moves - pairs.sum(axis=0)).ravel(),
-                seen_start - np.array([(1 - p[begins]).sum(), p[begins].sum()]),
-            ]
+            [np.bincount(cols, own[rows], minlength=n), [own.sum()], move_slope.ravel(), start_slope]
         ) / len(token) - SHRINK * parameters
         mean = 0.9 * mean + 0.1 * slope
         spread = 0.99 * spread + 0.01 * slope**2

@@ -45,8 +45,9 @@ def test_spans_are_offsets_of_runs():
 
 def test_copied_passages_are_no_evidence():
     passage = "alpha beta gamma delta " * 3
-    texts = [(passage + f"x{k} idiot y{k}").split() for k in range(20)] + [f"x{k} and y{k}".split() for k in range(80)]
-    found = tox.find_evidence(texts, [1] * 20 + [0] * 80)
+    texts = [passage + f"x{k} idiot y{k}" for k in range(20)] + [f"x{k} and y{k}" for k in range(80)]
+    docs, names = tox.number_words(texts)
+    found = tox.find_evidence(docs, [1] * 20 + [0] * 80, names)
     assert "idiot$" in found and "alpha$" not in found and "gamma$" not in found
 
 
@@ -60,8 +61,9 @@ def test_near_copies_are_left_out_of_training():
             words[k] = f"x{rng.integers(1e6)}"
         copies.append(words)
     others = [[f"w{k}" for k in rng.integers(0, 500, 300)] for _ in range(20)]
-    assert tox.without_copies(copies + others) == [0, *range(50, 70)]
-    assert tox.without_copies([[], ["a"], ["a"]]) == [0, 1, 2]
+    docs, _ = tox.number_words(map(" ".join, copies + others))
+    assert tox.without_copies(docs) == [0, *range(50, 70)]
+    assert tox.without_copies(tox.number_words(["", "a", "a"])[0]) == [0, 1, 2]
 
 
 @pytest.fixture(scope="module")
