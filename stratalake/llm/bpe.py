@@ -390,7 +390,10 @@ def with_decoded(tokens: DataFrame, vocabulary_path: str, ids_column: str = "ids
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = vocabulary(vocabulary_path)
         for batch in batches:
-            yield pa.array([known.decode(ids or ()) for ids in batch.to_pylist()], pa.string())
+            values, ends = np.asarray(batch.values), np.asarray(batch.offsets).tolist()
+            # One text's ids at a time become Python numbers.
+            texts = [known.decode(values[a:b].tolist()) for a, b in zip(ends, ends[1:])]
+            yield pa.array(texts, pa.string())
 
     step = F.arrow_udf(decode, "string").asNondeterministic()
     return tokens.withColumn("decoded", step(F.col(ids_column)))

@@ -24,7 +24,7 @@ BATCH_BYTES = 8 << 20
 
 # Arguments whose results a worker remembers, in each of two generations; longer arguments rarely
 # come again.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 LONGEST_REMEMBERED = 48
 
 
@@ -39,18 +39,27 @@ class Remembering(dict):
         value = self.older.get(key)
         if value is None:
             value = self.function(key)
-        self.put([key], [value])
+        if len(key) <= LONGEST_REMEMBERED:
+            self.make_room()
+            self[key] = value
         return value
 
-    def put(self, keys: list, values: list) -> None:
-        """Remember results; a full generation becomes the older one."""
-        self.update((k, v) for k, v in zip(keys, values) if len(k) <= LONGEST_REMEMBERED)
+    def make_room(self) -> None:
+        """A full generation becomes the older one, and that one is forgotten."""
         if len(self) >= REMEMBERED:
             self.older = dict(self)
             self.clear()
 
+    def put(self, keys: list, values: list) -> None:
+        """Remember results until room is made the next time."""
+        self.update((k, v) for k, v in zip(keys, values) if len(k) <= LONGEST_REMEMBERED)
+
     def unknown(self, keys: set) -> list:
-        """The keys whose results are not remembered; those of the older generation are renewed."""
+        """The keys whose results are not remembered; those of the older generation are renewed.
+
+        Room is made before, so that all keys are at hand once the results are put.
+        """
+        self.make_room()
         older = self.older
         missing = [k for k in keys if k not in self]
         again = {k: older[k] for k in missing if k in older}
