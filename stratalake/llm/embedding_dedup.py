@@ -1,15 +1,15 @@
 """Near-duplicates among embeddings: spherical k-means cells, cosine products within cells.
 
 Equal vectors are one vector with a number of copies. Centres are trained on a bounded sample; each
-vector lives in the cell of its nearest centre and visits all cells whose centre is nearly as near,
-so that two vectors on both sides of a border meet. In a cell residents are compared with residents
-and visitors by blocked products in double precision, so what is linked is exact; what the visits
-miss is the method's only loss. Two vectors at the threshold differ from their common direction at
-random, which moves the difference of their products with two centres by about
-sqrt(1 - threshold^2) * sqrt(2 / dimension); ``REACH`` of these is how far a visit goes.
-
-A cell with many vectors is cut into chunks, and each pair of chunks is work of its own. A pair of
-vectors that meets in both of their cells counts in the one with the smaller number. Blocks return
+vector lives in the cell of its nearest centre and visits all cells whose border is near. The border
+between two centres is the plane of points equally near to both. Of two vectors on its two sides at
+the threshold or closer, one is within half their distance, sqrt((1 - threshold) / 2), of the
+plane, so a vector visits each cell whose border with its own is no farther: two vectors that link
+always meet, whatever their directions. In a cell residents are compared with residents and visitors
+by blocked products in double precision, so the links are those of all pairs.
+
+Residents and visitors of a crowded cell are cut into chunks, and each pair of chunks of residents,
+or of residents and visitors, is work of its own. A pair of vectors that meets in both of their cells counts in the one with the smaller number. Blocks return
 sums of links per vector and the links that join parts not yet joined, never all pairs.
 
 Defined results: a vector that is null, empty, zero, or has null or non-finite components links
@@ -32,7 +32,8 @@ from stratalake.llm.common import prepare_workers, written
 from stratalake.llm.components import connected_components
 
 THRESHOLD = 0.95
-REACH = 1.8
+# What rounding may take from a vector's distance to a border.
+SLACK = 1e-7
 # Vectors (and bytes of them) that train the centres, and the most centres there are.
 SAMPLE = 20_000
 SAMPLE_BYTES = 64 << 20
@@ -43,6 +44,10 @@ CENTRES_PER_ROOT = 4
 ROUNDS = 10
 # Vectors of a chunk of a crowded cell.
 CHUNK = 2048
+# Vectors whose products with the centres are held at once.
+ROWS_AT_ONCE = 512
+# Rows of the sample that move between cells at once.
+MOVED_AT_ONCE = 64
 
 
 def unit_rows(rows: np.ndarray) -> np.ndarray:
@@ -52,19 +57,48 @@ def unit_rows(rows: np.ndarray) -> np.ndarray:
 
 
 def train_centres(sample: np.ndarray, count: int) -> np.ndarray:
-    """Spherical k-means on unit rows; centres that lose all rows are left out."""
+    """Spherical k-means on unit rows; centres that lose all rows are left out.
+
+    A row moves if that makes the sums of both cells longer together. Its own part in its cell's
+    sum, which holds it there in small cells, is thus left out. Few rows move at a time, as cells
+    that lose many rows at once would die out.
+    """
     centres = sample[np.linspace(0, len(sample) - 1, count).astype(int)]
+    home = np.concatenate([(part @ centres.T).argmax(axis=1) for _, part in _row_blocks(sample)])
+    sums = np.zeros_like(centres)
+    np.add.at(sums, home, sample)
+    length = np.sqrt((sums * sums).sum(axis=1))
     for _ in range(ROUNDS):
-        nearest = (sample @ centres.T).argmax(axis=1)
-        sums = np.zeros_like(centres)
-        np.add.at(sums, nearest, sample)
-        length = np.sqrt((sums * sums).sum(axis=1))
-        centres = sums[length > 0] / length[length > 0, None]
-    return centres
+        for at, part in _row_blocks(sample, MOVED_AT_ONCE):
+            each, own = np.arange(len(part)), home[at : at + len(part)]
+            products = part @ sums.T
+            stay = length[own] - np.sqrt(np.maximum(0, length[own] ** 2 - 2 * products[each, own] + 1))
+            gain = np.sqrt(np.maximum(0, length**2 + 2 * products + 1)) - length
+            gain[each, own] = stay
+            new = gain.argmax(axis=1)
+            moved = new != own
+            np.subtract.at(sums, own[moved], part[moved])
+            np.add.at(sums, new[moved], part[moved])
+            home[at : at + len(part)] = new
+            touched = np.unique([own[moved], new[moved]])
+            length[touched] = np.sqrt((sums[touched] ** 2).sum(axis=1))
+    held = np.unique(home)
+    sums = np.zeros_like(centres)
+    np.add.at(sums, home, sample)
+    length = np.sqrt((sums[held] ** 2).sum(axis=1))
+    return sums[held][length > 0] / length[length > 0, None]
+
+
+def _row_blocks(rows: np.ndarray, most: int = 0) -> Iterator[tuple[int, np.ndarray]]:
+    """Blocks of rows, whose products with all centres fit in memory, and where they start."""
+    most = most or ROWS_AT_ONCE
+    for at in range(0, len(rows), most):
+        yield at, rows[at : at + most]
 
 
 def reach(threshold: float, dimension: int) -> float:
-    return REACH * math.sqrt(max(0.0, 1 - threshold * threshold)) * math.sqrt(2 / dimension)
+    """How far from a border one of two vectors that link over it is at most, in any dimension."""
+    return math.sqrt(max(0.0, 1 - threshold) / 2)
 
 
 Cells = dict[int, tuple[np.ndarray, int, float]]  # by dimension: centres, first number, reach
@@ -77,10 +111,17 @@ def assign(rows: np.ndarray, cells: Cells) -> tuple[np.ndarray, np.ndarray, np.n
         own = np.full(len(rows), -dimension)
         return own, np.arange(len(rows)), own
     centres, first, far = cells[dimension]
-    near = rows @ centres.T
-    home = near.argmax(axis=1)
-    row, cell = np.nonzero(near >= near[np.arange(len(rows)), home][:, None] - far)
-    return home + first, row, cell + first
+    homes, visitors, visited = [], [], []
+    for at, part in _row_blocks(rows):
+        near = part @ centres.T
+        home = near.argmax(axis=1)
+        some, place = np.unique(home, return_inverse=True)
+        apart = np.sqrt(np.maximum(0, 2 - 2 * (centres[some] @ centres.T)))
+        row, cell = np.nonzero(near[np.arange(len(part)), home][:, None] - near <= far * apart[place] + SLACK)
+        homes.append(home)
+        visitors.append(row + at)
+        visited.append(cell)
+    return np.concatenate(homes) + first, np.concatenate(visitors), np.concatenate(visited) + first
 
 
 def _by_dimension(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -159,15 +200,33 @@ def _batch(rows: list[tuple], types: list, fields: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 
+_COUNTS = "cell int, n long, residents long"
+Chunks = dict[int, tuple[int, int]]  # by crowded cell: chunks of residents and of visitors
+
+
 def _visit_counts(batches: Iterator[pa.RecordBatch], cells: Cells) -> Iterator[pa.RecordBatch]:
-    """(cell, n) of the visits of each batch."""
+    """(cell, n, residents) of the visits of each batch."""
     for batch in batches:
         for _, rows in _by_dimension(batch.column(2)):
-            found, n = np.unique(assign(rows, cells)[2], return_counts=True)
-            yield _batch(list(zip(found.tolist(), n.tolist())), [pa.int32(), pa.int64()], "cell int, n long")
+            homes, _, cell = assign(rows, cells)
+            found, n = np.unique(cell, return_counts=True)
+            own = np.bincount(np.searchsorted(found, homes), minlength=len(found))
+            counts = list(zip(found.tolist(), n.tolist(), own.tolist()))
+            yield _batch(counts, [pa.int32(), pa.int64(), pa.int64()], _COUNTS)
+
+
+def _units_of(node: int, resident: bool, chunks: tuple[int, int] | None) -> list[tuple[int, int]]:
+    """The units (i, j) of a cell that a vector takes part in; chunks of visitors come last."""
+    if chunks is None:
+        return [(0, 0)]
+    residents, visitors = chunks
+    if not resident:
+        return [(i, residents + node % visitors) for i in range(residents)]
+    mine = node % residents
+    return [(min(mine, o), max(mine, o)) for o in range(residents)] + [(mine, residents + k) for k in range(visitors)]
 
 
-def _units(batches: Iterator[pa.RecordBatch], cells: Cells, chunks: dict[int, int]) -> Iterator[pa.RecordBatch]:
+def _units(batches: Iterator[pa.RecordBatch], cells: Cells, chunks: Chunks) -> Iterator[pa.RecordBatch]:
     """A row for each unit that a vector takes part in."""
     for batch in batches:
         node, copies = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -179,11 +238,11 @@ def _units(batches: Iterator[pa.RecordBatch], cells: Cells, chunks: dict[int, in
                 visits = cell[starts[k] : starts[k + 1]].tolist()
                 vector = rows[k].tobytes()
                 for c in visits:
-                    m = chunks.get(c, 1)
-                    mine = node[place] % m
-                    for other in range(m):
-                        unit = (c, min(mine, other), max(mine, other))
-                        out.append((*unit, node[place], copies[place], int(homes[k]), visits, vector))
+                    resident = c == homes[k]
+                    # Only residents are asked where else they are.
+                    known = visits if resident else []
+                    for unit in _units_of(node[place], resident, chunks.get(c)):
+                        out.append((c, *unit, node[place], copies[place], int(homes[k]), known, vector))
                 if len(out) >= 4096:
                     yield _batch(out, _UNIT_TYPES, _UNIT)
                     out = []
@@ -191,7 +250,7 @@ def _units(batches: Iterator[pa.RecordBatch], cells: Cells, chunks: dict[int, in
             yield _batch(out, _UNIT_TYPES, _UNIT)
 
 
-def _links(batches: Iterator[pa.RecordBatch], chunks: dict[int, int], threshold: float) -> Iterator[pa.RecordBatch]:
+def _links(batches: Iterator[pa.RecordBatch], chunks: Chunks, threshold: float) -> Iterator[pa.RecordBatch]:
     """Links of the units in a sorted stream; a unit may go over several batches."""
 
     def finish(unit: tuple, held: list) -> pa.RecordBatch:
@@ -202,9 +261,12 @@ def _links(batches: Iterator[pa.RecordBatch], chunks: dict[int, int], threshold:
             node, copies, home, visits, raw = zip(*(held[k] for k in np.flatnonzero(lengths == d)))
             nodes = np.array(node, np.int64)
             rows = np.frombuffer(b"".join(raw), np.float64).reshape(len(node), -1)
-            side = nodes % chunks[cell] == j if i != j else None
+            homes = np.array(home)
+            side = None
+            if i != j:
+                side = nodes % chunks[cell][0] == j if j < chunks[cell][0] else homes == cell
             found, joined = link_block(
-                rows, nodes, np.array(copies, np.int64), np.array(home), list(visits), cell, threshold, side
+                rows, nodes, np.array(copies, np.int64), homes, list(visits), cell, threshold, side
             )
             sums += [(nodes[k], None, found[k]) for k in np.flatnonzero(found)]
             links += [(a, b, None) for a, b in joined]
@@ -256,13 +318,13 @@ def vector_links(distinct: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     rows = distinct.select("node", "copies", "vector")
     # One row per crowded cell comes to the driver, so no more than there are centres.
     crowded = (
-        rows.mapInArrow(lambda b: _visit_counts(b, cells), "cell int, n long")
+        rows.mapInArrow(lambda b: _visit_counts(b, cells), _COUNTS)
         .groupBy("cell")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum("n").alias("n"), F.sum("residents").alias("residents"))
         .filter(F.col("n") > CHUNK)
         .collect()
     )
-    chunks = {r["cell"]: -(-r["n"] // CHUNK) for r in crowded}
+    chunks = {r["cell"]: (-(-r["residents"] // CHUNK), -(-(r["n"] - r["residents"]) // CHUNK)) for r in crowded}
     units = rows.mapInArrow(lambda b: _units(b, cells, chunks), _UNIT)
     order = ["cell", "i", "j"]
     sorted_units = units.repartition(*order).sortWithinPartitions(*order)

@@ -90,5 +90,20 @@ def test_borders_are_reached():
     assert len(row) < 4000 * 250 * 0.04
 
 
+@pytest.mark.parametrize("rank, d", [(8, 64), (8, 384), (16, 384), (384, 384)])
+def test_all_pairs_meet_at_any_rank(rank, d):
+    """Pairs at the threshold meet, also if the vectors fill few of their dimensions."""
+    rng = np.random.default_rng(rank + d)
+    basis = np.linalg.qr(rng.normal(size=(d, rank)))[0].T
+    base = dedup.unit_rows(rng.normal(size=(3000, rank)))
+    pairs = np.array([noisy(rng, b, 0.9505) for b in base]) @ basis
+    base = base @ basis
+    cells = {d: (dedup.train_centres(base, 200), 0, dedup.reach(0.95, d))}
+    homes, row, cell = dedup.assign(base, cells)
+    homes2, row2, cell2 = dedup.assign(pairs, cells)
+    seen, seen2 = set(zip(row.tolist(), cell.tolist())), set(zip(row2.tolist(), cell2.tolist()))
+    assert all((k, homes2[k]) in seen or (k, homes[k]) in seen2 for k in range(3000))
+
+
 def test_empty_table(spark):
     assert dedup.embedding_groups(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
