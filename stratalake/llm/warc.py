@@ -36,7 +36,7 @@ ARCHIVE_BYTES = 64 << 20
 LEAST_PAYLOAD = 0
 LEVEL = 3
 READ_BYTES = 1 << 20
-LONGEST_HEADER = 1 << 16
+HEADER_WINDOW = 1 << 16
 
 # Fixed values of the format.
 VERSION = b"WARC/1.1\r\n"
@@ -213,15 +213,27 @@ def _member_at(archive: Archive, offset: int) -> tuple[bytes, int]:
     return b"".join(parts), at
 
 
-def _head(data: bytes) -> tuple[dict[str, str], int]:
-    """The fields of a header, and its length with the empty line."""
+def _head(read, start: int) -> tuple[dict[str, str], int]:
+    """The fields of the header at a place, and its length with the empty line.
+
+    The end is looked for window by window, as an address may have any length.
+    """
+    data = read(start, HEADER_WINDOW)
     first = VERSION_LINE.match(data)
     if not first:
         raise BadRecord("no version line")
-    end = data.find(RECORD_END, 0, LONGEST_HEADER)
-    if end < 0:
-        raise BadRecord("header has no end")
-    fields = {}
+    windows, last, end = [data], data, data.find(RECORD_END)
+    while end < 0:
+        tail = last[1 - len(RECORD_END) :]  # the end may lie across two windows
+        length = sum(map(len, windows))
+        last = read(start + length, HEADER_WINDOW)
+        if not last:
+            raise BadRecord("header has no end")
+        windows.append(last)
+        last = tail + last
+        if (found := last.find(RECORD_END)) >= 0:
+            end = length - len(tail) + found
+    data, fields = b"".join(windows), {}
     for line in data[first.end() : end].decode("utf-8", "replace").split("\r\n"):
         name, colon, value = line.partition(":")
         if not colon:
@@ -255,7 +267,7 @@ def _checked(fields: dict[str, str], block: bytes, start: int, end: int) -> Foun
 
 def _plain_record(read, size: int, start: int) -> Found:
     """The record at a place of plain bytes; ``read(offset, length)`` gives them."""
-    fields, head = _head(read(start, LONGEST_HEADER))
+    fields, head = _head(read, start)
     length = int(fields["content-length"])
     if start + head + length + len(RECORD_END) > size:
         raise BadRecord("block is cut off")

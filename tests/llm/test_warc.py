@@ -6,6 +6,7 @@ import random
 import pytest
 
 from stratalake.llm import warc
+from stratalake.llm.queries import QUERIES
 
 
 def archive(data):
@@ -95,6 +96,30 @@ def test_pages_round_trip(spark, tmp_path):
     assert {r.target_uri for r in got if r.page_id == "5"} == {"http://a%0D%0AX: y"}
 
 
+@pytest.mark.parametrize("length", [65_000, 65_200, 65_536, 100_000, 300_000])
+def test_long_headers(length):
+    made = [warc.record_bytes(k, "u" * (length + k), b"text", None, "d") for k in range(40)]
+    for data in (b"".join(made), b"".join(map(warc.member, made))):
+        found = list(warc.read_records(archive(data)))
+        assert [len(f.fields["warc-target-uri"]) for f in found] == [length + k for k in range(40)]
+
+
+def test_query_keeps_pages_with_long_urls(spark, tmp_path):
+    data = [(1, "u" * 100_000, "a"), (2, "\x01" * 30_000, "b"), (3, "u", "c")]
+    spark.createDataFrame(data, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    assert sorted(r.page_id for r in QUERIES["op8_warc_round_trip"](spark, str(tmp_path)).collect()) == [1, 2, 3]
+
+
+def test_query_fails_for_a_gap(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(1, "u", "a")], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    made = warc.write_archives(spark.read.parquet(str(tmp_path / "pages.parquet")), str(tmp_path / "w"))
+    with open(made.first().path.removeprefix("file:"), "rb+") as file:
+        file.truncate(20)
+    monkeypatch.setattr(warc, "write_archives", lambda *_: made)
+    with pytest.raises(Exception, match="gap in .* member is cut off"):
+        QUERIES["op8_warc_round_trip"](spark, str(tmp_path)).count()
+
+
 def test_small_payloads_are_all_responses(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "abc"), (2, "u", "abc")], "page_id long, url string, html string")
     made = warc.write_archives(pages, str(tmp_path / "w"), least_payload=4)
