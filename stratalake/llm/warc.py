@@ -8,7 +8,10 @@ successful tasks return, so files of lost or repeated tasks are never read.
 The reader checks each record: the member's checksum, the version line, the lengths and the
 digests. After a failed check it looks for the next place that starts a member or a version line
 and goes on from there, and it returns the bytes in between as a quarantined gap with the reason.
-It reads plain and compressed records, in windows, so an archive may be larger than memory.
+Within a member the version line is looked for in the inflated bytes, and the gap's reason names
+their range. Of a member that is cut off or damaged, records are kept whose own digest proves them.
+It reads plain and compressed records, in windows, and inflates members as streams, so an archive
+or a member may be larger than memory; one record is held at a time.
 
 Defined results: a null payload is empty; a null id or address leaves its field empty, and among
 equal payloads ids come before nulls; rows that share the smallest id of a payload are all
@@ -36,6 +39,7 @@ ARCHIVE_BYTES = 64 << 20
 LEAST_PAYLOAD = 0
 LEVEL = 3
 READ_BYTES = 1 << 20
+INFLATED_AT_ONCE = 1 << 16
 HEADER_WINDOW = 1 << 16
 
 # Fixed values of the format.
@@ -198,19 +202,92 @@ class Archive:
         return self.data[begin : begin + length]
 
 
-def _member_at(archive: Archive, offset: int) -> tuple[bytes, int]:
-    """The content of the member at an offset, and where it ends."""
-    unpacker, parts, at = zlib.decompressobj(31), [], offset
-    while not unpacker.eof:
-        data = archive.at(at, READ_BYTES)
-        if not data:
-            raise BadRecord("member is cut off")
-        try:
-            parts.append(unpacker.decompress(data))
-        except zlib.error as error:
-            raise BadRecord(f"member is damaged: {error}") from None
-        at += len(data) - len(unpacker.unused_data)
-    return b"".join(parts), at
+class Inflater:
+    """The content of the gzip member at an offset, piece by piece."""
+
+    def __init__(self, archive: Archive, offset: int) -> None:
+        self.archive, self.at = archive, offset
+        self.unpacker, self.reason, self.cut = zlib.decompressobj(31), None, False
+
+    def more(self, limit: int) -> bytes:
+        """Some next bytes; none at the end, which has a reason if it is not the member's own."""
+        while not self.unpacker.eof and not self.reason:
+            data = self.archive.at(self.at, min(INFLATED_AT_ONCE, READ_BYTES))
+            before = self.unpacker.copy()
+            try:
+                out = self.unpacker.decompress(data, limit)
+            except zlib.error as error:
+                # What lies before the damage comes out with a smaller limit.
+                self.unpacker = before
+                if limit == 1:
+                    self.reason = f"member is damaged: {error}"
+                limit = max(1, limit // 2)
+                continue
+            rest = self.unpacker.unused_data if self.unpacker.eof else self.unpacker.unconsumed_tail
+            self.at += len(data) - len(rest)
+            if out:
+                return out
+            if not data and not self.unpacker.eof:
+                self.reason, self.cut = "member is cut off", True
+        return b""
+
+
+class Member:
+    """Windows on the content of a gzip member, like those on an archive.
+
+    A first pass checks the member and measures it; the content is inflated again as it is read,
+    unless it is small. Bytes from ``floor`` on are held, earlier ones are not read any more.
+    """
+
+    def __init__(self, archive: Archive, offset: int) -> None:
+        self.archive, self.offset, self.floor = archive, offset, 0
+        self.start, self.size, held = 0, 0, []
+        self.inflater = Inflater(archive, offset)
+        while part := self.inflater.more(READ_BYTES):
+            self.size += len(part)
+            if self.size <= READ_BYTES:
+                held.append(part)
+            else:
+                held = []
+        self.reason, self.end, self.cut = self.inflater.reason, self.inflater.at, self.inflater.cut
+        self.data = b"".join(held)
+        if self.size > READ_BYTES:
+            self.inflater = Inflater(archive, offset)
+
+    def at(self, offset: int, length: int) -> bytes:
+        end = min(offset + length, self.size)
+        have = self.start + len(self.data)
+        if have < end:
+            drop = max(0, min(self.floor, have) - self.start)
+            self.start, parts = self.start + drop, [self.data[drop:]]
+            while have < end and (part := self.inflater.more(READ_BYTES)):
+                have += len(part)
+                if have <= self.floor:
+                    self.start, parts = have, []
+                else:
+                    parts.append(part)
+            self.data = b"".join(parts)
+        return self.data[offset - self.start : max(offset, end) - self.start]
+
+    def read_up_to(self, content: int) -> int:
+        """Where in the archive the bytes end that make so much of the content."""
+        inflater, left = Inflater(self.archive, self.offset), content
+        while left and (part := inflater.more(min(left, READ_BYTES))):
+            left -= len(part)
+        return inflater.at
+
+    def next_version(self, offset: int) -> int:
+        """The next place of a version line in the content, or the content's end."""
+        while offset < self.size:
+            self.floor = offset
+            data = self.at(offset, READ_BYTES)
+            for m in re.finditer(rb"WARC/\d", data):
+                if VERSION_LINE.match(self.at(offset + m.start(), 32)):
+                    return offset + m.start()
+            if offset + len(data) >= self.size:
+                break
+            offset += max(1, len(data) - 8)  # a line may lie across two windows
+        return self.size
 
 
 def _head(read, start: int) -> tuple[dict[str, str], int]:
@@ -278,20 +355,43 @@ def _plain_record(read, size: int, start: int) -> Found:
     return _checked(fields, block, start, end)
 
 
-def _records_at(archive: Archive, offset: int) -> list[Found]:
-    """The records of the member at an offset, or the plain record there."""
-    if archive.at(offset, 3) != MEMBER_START:
-        return [_plain_record(archive.at, archive.size, offset)]
-    data, end = _member_at(archive, offset)
-    out, at = [], 0
-    while at < len(data):
-        found = _plain_record(lambda o, n: data[o : o + n], len(data), at)
+def _proven(found: Found, member: Member) -> bool:
+    """Whether a record of a cut or damaged member is kept: by its digest, which covers no header.
+
+    A record that is all of a damaged member's content may owe the damage to its header.
+    """
+    alone = found.start == 0 and found.end == member.size and not member.cut
+    return found.fields.get("warc-block-digest", "").startswith("sha1:") and not alone
+
+
+def _member_records(member: Member) -> Iterator[Found]:
+    """The records of a member that pass their checks, and the gaps between them.
+
+    Their ``start`` and ``end`` are places in the content.
+    """
+    at, gap = 0, None
+    while at < member.size:
+        member.floor = at
+        try:
+            found = _plain_record(member.at, member.size, at)
+            if member.reason and not _proven(found, member):
+                raise BadRecord(member.reason)
+        except BadRecord as error:
+            end = member.next_version(at + 1)
+            # The end of a damaged member has the member's reason.
+            reason = member.reason if member.reason and end == member.size else str(error)
+            gap = Found(gap.start if gap else at, end, {}, reason=gap.reason if gap else reason)
+            at = end
+            continue
+        if gap:
+            yield gap
+            gap = None
         at = found.end
-        found.start, found.end = offset, end
-        out.append(found)
-    if not out:
-        raise BadRecord("member is empty")
-    return out
+        yield found
+    if gap:
+        yield gap
+    elif member.reason or not member.size:
+        yield Found(at, at, {}, reason=member.reason or "member is empty")
 
 
 def _starts_record(archive: Archive, offset: int) -> bool:
@@ -318,22 +418,59 @@ def _next_start(archive: Archive, offset: int) -> int:
     return archive.size
 
 
+def _placed(found: Found, member: Member) -> Found:
+    """A record or gap of a member with the member's place; a gap's reason tells the bytes."""
+    if found.reason:
+        found.reason += f" (bytes {found.start} to {found.end} of the member's content)"
+    found.start, found.end = member.offset, member.end
+    return found
+
+
 def read_records(archive: Archive) -> Iterator[Found]:
-    """All records that pass their checks, and the gaps between them."""
+    """All records that pass their checks, and the gaps between them.
+
+    Records of one member have its start and end, the end of a damaged one being where inflating
+    stopped; the gap after its last good record starts where that record's bytes end.
+    """
     at, gap = 0, None
     while at < archive.size:
-        try:
-            found = _records_at(archive, at)
-        except BadRecord as error:
-            end = _next_start(archive, at + 1)
-            gap = Found(gap.start if gap else at, end, {}, reason=gap.reason if gap else str(error))
+        member, passed, saved, lost = None, [], 0, None
+        if archive.at(at, 3) == MEMBER_START:
+            member = Member(archive, at)
+            passed = _member_records(member)
+        else:
+            try:
+                passed = [_plain_record(archive.at, archive.size, at)]
+            except BadRecord as error:
+                lost = Found(at, at, {}, reason=str(error))
+        for found in passed:
+            if found.reason:
+                lost = found
+                continue
+            if gap:
+                yield gap
+                gap = None
+            if lost:
+                yield _placed(lost, member)
+                lost = None
+            saved = found.end
+            yield _placed(found, member) if member else found
+        if member and saved and not member.reason:
+            if lost:
+                yield _placed(lost, member)
+            at = member.end
+        elif lost:
+            start = member.read_up_to(saved) if saved else at
+            if member and not member.reason:
+                end = member.end
+            else:
+                # An inflater may take a few bytes more than it needs.
+                end = _next_start(archive, max(at + 1, start - 8))
+            start = min(start, end)
+            gap = Found(gap.start if gap else start, end, {}, reason=gap.reason if gap else lost.reason)
             at = end
-            continue
-        if gap:
-            yield gap
-            gap = None
-        yield from found
-        at = found[-1].end
+        else:
+            at = saved
     if gap:
         yield gap
 

@@ -120,6 +120,66 @@ def test_query_fails_for_a_gap(spark, tmp_path, monkeypatch):
         QUERIES["op8_warc_round_trip"](spark, str(tmp_path)).count()
 
 
+def kept_and_lost(data):
+    found = list(warc.read_records(archive(data)))
+    return ids(found), [(f.start, f.end, f.reason) for f in found if f.reason]
+
+
+def many(n=300, bad=()):
+    """Records of one member, some with a changed block, and where each ends in the content."""
+    made = [raw for _, raw in records(n, packed=False)]
+    for k in bad:
+        made[k] = made[k].replace(b"HTTP/1.1 200", b"HTTP/1.1 2x0")
+    return made, [sum(map(len, made[: k + 1])) for k in range(n)]
+
+
+@pytest.mark.parametrize("window", [1 << 20, 3000])
+def test_a_bad_record_of_a_large_member_costs_only_itself(window, monkeypatch):
+    monkeypatch.setattr(warc, "READ_BYTES", window)
+    made, ends = many(bad=(0, 100, 101, 299))
+    data = warc.member(b"".join(made))
+    after = records(3)
+    kept, lost = kept_and_lost(data + b"".join(r for _, r in after))
+    assert kept == [str(k) for k in range(300) if k not in (0, 100, 101, 299)] + ["0", "1", "2"]
+    ranges = [(0, ends[0]), (ends[99], ends[101]), (ends[298], ends[299])]
+    assert lost == [(0, len(data), f"block digest differs (bytes {a} to {b} of the member's content)") for a, b in ranges]
+
+
+@pytest.mark.parametrize("window", [1 << 20, 3000])
+@pytest.mark.parametrize("level", [0, 3])
+def test_a_cut_or_damaged_member_keeps_what_came_before(window, level, monkeypatch):
+    monkeypatch.setattr(warc, "READ_BYTES", window)
+    monkeypatch.setattr(warc, "LEVEL", level)
+    made, _ = many()
+    data = warc.member(b"".join(made))
+    after = b"".join(r for _, r in records(3))
+    kept, lost = kept_and_lost(data[: len(data) // 2] + after)
+    n = len(kept) - 3
+    assert n > 100 and kept == [str(k) for k in range(n)] + ["0", "1", "2"]
+    if level:  # stored bytes of the next member look like this one's content
+        assert [end for _, end, _ in lost] == [len(data) // 2] and 0 < lost[0][0] <= len(data) // 2
+    kept, lost = kept_and_lost(data[: len(data) // 2])
+    assert kept == [str(k) for k in range(n)] and lost[0][2] == "member is cut off"
+    broken = bytearray(data)
+    broken[len(data) // 2 : len(data) // 2 + 40] = b"\xff" * 40
+    kept, lost = kept_and_lost(bytes(broken) + after)
+    assert kept[:100] == [str(k) for k in range(100)] and kept[-3:] == ["0", "1", "2"] and lost
+    assert len(set(kept[:-3])) == len(kept) - 3
+
+
+def test_a_large_member_is_not_held_whole(monkeypatch):
+    monkeypatch.setattr(warc, "READ_BYTES", 4096)
+    made, _ = many(2000)
+    found, most = [], 0
+    opened = []
+    start = warc.Member.__init__
+    monkeypatch.setattr(warc.Member, "__init__", lambda self, *a: (start(self, *a), opened.append(self))[0])
+    for f in warc.read_records(archive(warc.member(b"".join(made)))):
+        found.append(f)
+        most = max(most, len(opened[0].data))
+    assert ids(found) == [str(k) for k in range(2000)] and most < 200_000 < sum(map(len, made))
+
+
 def test_small_payloads_are_all_responses(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "abc"), (2, "u", "abc")], "page_id long, url string, html string")
     made = warc.write_archives(pages, str(tmp_path / "w"), least_payload=4)
