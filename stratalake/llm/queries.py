@@ -71,12 +71,15 @@ FROM o JOIN t ON o.source IS NOT DISTINCT FROM t.source
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words that the curriculum takes of it, all its uses together."""
     takes = mixing.document_takes(read_table(spark, sf_dir, "documents"))
-    used = mixing.training_order(takes).groupBy("doc_id").agg(F.sum("words").alias("taken"))
+    # Rows that are used have words, so no two of a source start at the same offset; ids may repeat.
+    used = mixing.training_order(takes).groupBy("source", "offset").agg(F.sum("words").alias("taken"))
+    used = used.withColumnsRenamed({"source": "__source", "offset": "__offset"})
+    own = F.col("source").eqNullSafe(F.col("__source")) & (F.col("offset") == F.col("__offset")) & (F.col("size") > 0)
     return (
-        takes.drop("taken", "offset", "schedule")
-        .join(used.withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+        takes.drop("taken", "schedule")
+        .join(used, own, "left")
         .withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
-        .drop("__id")
+        .drop("__source", "__offset", "offset")
     )
 
 
