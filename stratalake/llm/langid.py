@@ -10,8 +10,10 @@ Training windows are kept as they are; prediction uses that a filter over byte v
 tables: the bytes at two neighbouring places select a row of a 65,536-row table, so a filter of
 width four is two look-ups and one addition instead of a product of matrices.
 
-Training uses a bounded sample: at most ``SAMPLE_PER_LANGUAGE`` documents of each language, chosen
-by a hash of their ids, and of each at most ``WINDOWS_PER_TEXT`` windows spread over the text.
+Every language that is a label is learned, whatever their number. Training uses a bounded sample:
+at most ``SAMPLE_PER_LANGUAGE`` documents of each language, fewer if that makes more than
+``SAMPLE_DOCUMENTS`` in all but at least one, chosen by a hash of their ids, and of each at most
+``WINDOWS_PER_TEXT`` windows spread over the text.
 Prediction covers every whole text.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; without a labelled
@@ -27,12 +29,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from stratalake.llm.common import column_udf, held_out, with_fields
+from stratalake.llm.common import column_udf, held_out, with_fields, written
 
 SAMPLE_PER_LANGUAGE = 600
-MOST_LANGUAGES = 200
+SAMPLE_DOCUMENTS = 120_000
 WINDOWS_PER_TEXT = 8
 WINDOW = 64
 VECTOR = 8
@@ -56,6 +58,15 @@ def windows_of(raw: bytes) -> np.ndarray:
     return out.reshape(count, WINDOW)
 
 
+def training_bytes(text: str) -> bytes:
+    """The windows of a text that train the network: whole ones, spread over the text."""
+    own = windows_of(text.encode("utf-8", "replace"))
+    if len(own) > 1:
+        own = own[:-1]  # whole windows tell more
+    chosen = np.unique(np.linspace(0, len(own) - 1, min(len(own), WINDOWS_PER_TEXT)).astype(int))
+    return own[chosen].tobytes()
+
+
 @dataclass
 class Network:
     languages: list[str]
@@ -119,18 +130,19 @@ def gradients(weights: dict, rows: np.ndarray, labels: np.ndarray) -> tuple[floa
 
 
 def train(texts: list[str], languages: list[str]) -> Network:
+    return train_windows([training_bytes(t) for t in texts], languages)
+
+
+def train_windows(samples: list[bytes], languages: list[str]) -> Network:
+    """Train on what ``training_bytes`` gives for each text."""
     names = sorted(set(languages))
     if not names:
         return Network([])
     number = {n: i for i, n in enumerate(names)}
     rows, labels = [], []
-    for t, language in zip(texts, languages):
-        own = windows_of(t.encode("utf-8", "replace"))
-        if len(own) > 1:
-            own = own[:-1]  # whole windows tell more
-        chosen = np.unique(np.linspace(0, len(own) - 1, min(len(own), WINDOWS_PER_TEXT)).astype(int))
-        rows.append(own[chosen])
-        labels += [number[language]] * len(chosen)
+    for sample, language in zip(samples, languages):
+        rows.append(np.frombuffer(sample, np.uint8).reshape(-1, WINDOW))
+        labels += [number[language]] * len(rows[-1])
     data, target = np.concatenate(rows), np.array(labels)
     weights = _initial(len(names))
     mean = {k: np.zeros_like(v) for k, v in weights.items()}
@@ -231,6 +243,7 @@ def fit_languages(
     text_column: str = "text",
     label_column: str = "lang",
     sample_per_language: int = SAMPLE_PER_LANGUAGE,
+    sample_documents: int = SAMPLE_DOCUMENTS,
 ) -> Network:
     """Train on labelled documents that are not held out: a bounded sample of each language."""
     usable = docs.select(
@@ -240,22 +253,27 @@ def fit_languages(
     ).filter(
         F.col("__label").isNotNull() & (F.length("__text") > 0) & ~held_out("__id")
     )
-    # The most frequent languages; a hash below (sample / rows) draws as many rows of each.
-    counts = usable.groupBy("__label").count().orderBy(F.desc("count"), "__label").limit(MOST_LANGUAGES).collect()
-    chance = F.lit(0.0)
-    for r in counts:
-        chance = F.when(F.col("__label") == r["__label"], F.lit(sample_per_language / r["count"])).otherwise(chance)
     draw = F.pmod(F.xxhash64(F.col("__id").cast("string")), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    usable = usable.withColumn("__draw", draw)
+    # A hash below (share / rows) draws about twice as many rows of a language as are kept; the
+    # smallest is drawn in any case, as a language may be copies of one row.
+    counts = written(
+        usable.groupBy("__label").agg(F.count(F.lit(1)).alias("__rows"), F.min("__draw").alias("__least")),
+        "language-counts",
+    )
+    each = max(1, min(sample_per_language, sample_documents // max(1, counts.count())))
+    share = F.lit(float(2 * each + 30)) / F.col("__rows")
     drawn = (
-        usable.withColumn("__draw", draw)
-        .filter(F.col("__draw") < chance)
-        .orderBy("__draw", "__text")
-        .limit(2 * sample_per_language * max(1, len(counts)))
-        .select("__text", "__label")
-        .collect()
+        usable.join(counts, "__label")
+        .filter((F.col("__draw") < share) | (F.col("__draw") == F.col("__least")))
+        .groupBy("__label", "__text")
+        .agg(F.min("__draw").alias("__draw"))
     )
-    once = dict.fromkeys((r["__text"], r["__label"]) for r in drawn)
-    return train([t for t, _ in once], [y for _, y in once])
+    ranked = Window.partitionBy("__label").orderBy("__draw", "__text")
+    kept = drawn.withColumn("__n", F.row_number().over(ranked)).filter(F.col("__n") <= each)
+    rows = kept.select("__label", "__draw", "__text").collect()
+    rows.sort(key=lambda r: (r["__draw"], r["__label"], r["__text"]))
+    return train([r["__text"] for r in rows], [r["__label"] for r in rows])
 
 
 def with_language(docs: DataFrame, network: Network, text_column: str = "text") -> DataFrame:

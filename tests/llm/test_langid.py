@@ -81,3 +81,26 @@ def test_defined_results(spark, network):
 def test_without_labels_all_is_unknown(spark):
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id int, text string, lang string")
     assert [r.lang_pred for r in langid.with_language(docs, langid.fit_languages(docs)).collect()] == ["und"]
+
+
+@pytest.fixture
+def trained(monkeypatch):
+    """What the network would be trained on: (windows, language) of each document."""
+    seen = []
+
+    def keep(samples, languages):
+        seen.extend(zip(samples, languages))
+        return langid.Network(sorted(set(languages)))
+
+    monkeypatch.setattr(langid, "train_windows", keep)
+    return seen
+
+
+def test_every_language_is_learned(spark, trained):
+    rows = [(k, f"word{k} of language {k % 230}", f"l{k % 230}") for k in range(5000)] + [(9002, "rare words", "rare")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    wanted = {f"l{k}" for k in range(230)} | {"rare"}
+    assert set(langid.fit_languages(docs).languages) == wanted
+    trained.clear()
+    assert set(langid.fit_languages(docs, sample_documents=460).languages) == wanted
+    assert len(trained) <= 460
