@@ -12,8 +12,8 @@ width four is two look-ups and one addition instead of a product of matrices.
 
 Every language that is a label is learned, whatever their number. Training uses a bounded sample:
 at most ``SAMPLE_PER_LANGUAGE`` documents of each language, fewer if that makes more than
-``SAMPLE_DOCUMENTS`` in all but at least one, chosen by a hash of their ids, and of each at most
-``WINDOWS_PER_TEXT`` windows spread over the text.
+``SAMPLE_DOCUMENTS`` in all but at least one, chosen by a hash of their ids and texts, and of each
+at most ``WINDOWS_PER_TEXT`` windows spread over the text, which are cut where the text lies.
 Prediction covers every whole text.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; without a labelled
@@ -253,7 +253,7 @@ def fit_languages(
     ).filter(
         F.col("__label").isNotNull() & (F.length("__text") > 0) & ~held_out("__id")
     )
-    draw = F.pmod(F.xxhash64(F.col("__id").cast("string")), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    draw = F.pmod(F.xxhash64(F.col("__id").cast("string"), "__text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     usable = usable.withColumn("__draw", draw)
     # A hash below (share / rows) draws about twice as many rows of a language as are kept; the
     # smallest is drawn in any case, as a language may be copies of one row.
@@ -271,9 +271,12 @@ def fit_languages(
     )
     ranked = Window.partitionBy("__label").orderBy("__draw", "__text")
     kept = drawn.withColumn("__n", F.row_number().over(ranked)).filter(F.col("__n") <= each)
-    rows = kept.select("__label", "__draw", "__text").collect()
-    rows.sort(key=lambda r: (r["__draw"], r["__label"], r["__text"]))
-    return train([r["__text"] for r in rows], [r["__label"] for r in rows])
+    made = column_udf(
+        docs.sparkSession, lambda texts: [list(map(training_bytes, texts))], "windows binary", [pa.binary()]
+    )
+    rows = kept.select("__label", "__draw", made(F.col("__text"))["windows"].alias("__windows")).collect()
+    rows.sort(key=lambda r: (r["__draw"], r["__label"], bytes(r["__windows"])))
+    return train_windows([bytes(r["__windows"]) for r in rows], [r["__label"] for r in rows])
 
 
 def with_language(docs: DataFrame, network: Network, text_column: str = "text") -> DataFrame:

@@ -104,3 +104,18 @@ def test_every_language_is_learned(spark, trained):
     trained.clear()
     assert set(langid.fit_languages(docs, sample_documents=460).languages) == wanted
     assert len(trained) <= 460
+
+
+def test_null_ids_crowd_nothing_out(spark, trained):
+    rows = [(None, f"many words {k}", "null") for k in range(4000)] + [(8, f"same id {k}", "same") for k in range(2000)]
+    rows += [(k, f"some text {k}", "own") for k in range(100, 400)] + [(None, "a copy", "copies")] * 5000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langid.fit_languages(docs, sample_per_language=50)
+    counts = {name: sum(language == name for _, language in trained) for name in ("null", "same", "own", "copies")}
+    assert counts == {"null": 50, "same": 50, "own": 50, "copies": 1}
+
+
+def test_only_windows_come_to_the_driver(spark, trained):
+    docs = spark.createDataFrame([(1, "long text " * 50_000, "en"), (3, "kurz", "de")], "doc_id long, text string, lang string")
+    langid.fit_languages(docs)
+    assert sorted(len(w) for w, _ in trained) == [langid.WINDOW, langid.WINDOW * langid.WINDOWS_PER_TEXT]
