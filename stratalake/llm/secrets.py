@@ -55,7 +55,16 @@ BASE_RULES = (
     Rule("hex", r"[0-9a-f]{32,}"),
 )
 ADDED_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    # From the BEGIN line up to the END line, or without one up to the last long run of base64, with
+    # a short padded rest. Line breaks may be escaped. Classes and not groups repeat, as Java's
+    # matcher goes deeper with each repeat of a group.
+    Rule(
+        "private_key",
+        r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+        r"(?:(?:[\x20\t\r\nrn\\]*(?:Proc-Type|DEK-Info):[^\r\n\\]*){0,2}"
+        r"(?:[A-Za-z0-9+/=\x20\t\r\n\\]*-----END [A-Z ]{0,40}PRIVATE KEY-----"
+        r"|[\x20\t]*[A-Za-z0-9+/=\r\n\\]*[A-Za-z0-9+/]{16,}(?:=|[\r\nrn\\]+[A-Za-z0-9+/]{1,15}=)?=?))?",
+    ),
     Rule("code_host", r"gh[opsur]_[A-Za-z0-9]{36,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
