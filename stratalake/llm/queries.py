@@ -16,7 +16,10 @@ from stratalake.llm import (
     quality,
     secrets,
     simhash,
+    substring_dedup,
+    token_alignment,
     toxicity,
+    vector_codes,
     warc,
 )
 from stratalake.llm.common import held_out, read_table
@@ -248,3 +251,115 @@ def op8_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_embedding_groups")
 def op4_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_groups(read_table(spark, sf_dir, "embeddings"))
+
+
+def _op11_sql() -> str:
+    """Rounds of assignment and move; components are numbered from 0, as entries and parts are."""
+    parts, entries = vector_codes.PARTS, vector_codes.ENTRIES
+
+    def assigned(n: int) -> str:
+        return f"""a{n} AS MATERIALIZED (
+  SELECT x.r, x.part, min({{'d': CAST(list_sum(list_transform(list_zip(x.c, b.c),
+    lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), 'e': b.e}}) AS best, any_value(x.c) AS c
+  FROM x JOIN b{n} b USING (part) GROUP BY x.r, x.part)"""
+
+    def moved(n: int) -> str:
+        return f"""m{n} AS MATERIALIZED (
+  SELECT part, e, list(m ORDER BY place) AS c FROM (
+    SELECT part, e, place, CAST(floor(sum(v)::DOUBLE / count(*)) AS BIGINT) AS m FROM (
+      SELECT part, best.e AS e, unnest(c) AS v, generate_subscripts(c, 1) AS place FROM a{n})
+    GROUP BY part, e, place) GROUP BY part, e),
+b{n + 1} AS MATERIALIZED (
+  SELECT b.part, b.e, coalesce(m.c, b.c) AS c FROM b{n} b LEFT JOIN m{n} m ON b.part = m.part AND b.e = m.e)"""
+
+    last = vector_codes.ROUNDS
+    rounds = ",\n".join(f"{assigned(n)},\n{moved(n)}" for n in range(last))
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label,
+    list_transform(embedding, lambda y: CAST(floor(CAST(y AS DOUBLE) * {vector_codes.SCALE}) AS BIGINT)) AS c
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+f AS (SELECT *, row_number() OVER (ORDER BY vec_id, c) - 1 AS e FROM v),
+x AS MATERIALIZED (
+  SELECT r, part, c[part * len(c) // {parts} + 1 : (part + 1) * len(c) // {parts}] AS c
+  FROM v, range({parts}) t(part)),
+b0 AS MATERIALIZED (SELECT x.part, f.e, x.c FROM x JOIN f USING (r) WHERE f.e < {entries}),
+{rounds},
+{assigned(last)},
+s AS (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda y: CAST(y AS VARCHAR)), ','), ','
+  ORDER BY part, e)) AS codebooks_sha256 FROM b{last}),
+k AS (
+  SELECT v.vec_id, v.label, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code,
+    CAST(sum(best.d) AS BIGINT) AS error
+  FROM a{last} a JOIN v USING (r) GROUP BY v.r, v.vec_id, v.label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM k CROSS JOIN s
+"""
+
+
+@query("op11_vector_codes", _op11_sql())
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(read_table(spark, sf_dir, "embeddings"))
+
+
+# Windows are doubled this often in SQL, for texts of up to 13 * 2^12 words.
+OP12_DOUBLINGS = 12
+
+
+def _op12_sql() -> str:
+    window = substring_dedup.WINDOW
+
+    def level(n: int) -> str:
+        """Windows of a length with the smallest id each, then those of twice the length."""
+        length = window << n
+        out = f"""l{n} AS MATERIALIZED (
+  SELECT r, i, doc_id, k, min(doc_id) OVER (PARTITION BY k) AS least, count(*) OVER (PARTITION BY k) AS n
+  FROM w{n})"""
+        if n < OP12_DOUBLINGS:
+            out += f""",
+w{n + 1} AS (
+  SELECT a.r, a.i, a.doc_id, md5(a.k || b.k) AS k
+  FROM l{n} a JOIN l{n} b ON b.r = a.r AND b.i = a.i + {length} WHERE a.n > 1 AND b.n > 1)"""
+        return out
+
+    levels = ",\n".join(level(n) for n in range(OP12_DOUBLINGS + 1))
+    found = " UNION ALL ".join(
+        f"SELECT DISTINCT r, {window << n} AS length FROM l{n} WHERE least < doc_id" for n in range(OP12_DOUBLINGS + 1)
+    )
+    return rf"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w0 AS (
+  SELECT r, i, doc_id, md5(array_to_string(words[i : i + {window - 1}], ' ')) AS k
+  FROM d, LATERAL (SELECT unnest(range(1, len(words) - {window - 2})) AS i)),
+{levels},
+p AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d),
+c AS (
+  SELECT p.r, p.i, p.word, max(CASE WHEN l0.least < l0.doc_id THEN 1 ELSE 0 END) OVER (
+    PARTITION BY p.r ORDER BY p.i ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW) AS gone
+  FROM p LEFT JOIN l0 ON l0.r = p.r AND l0.i = p.i),
+k AS (
+  SELECT r, CAST(sum(gone) AS BIGINT) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS kept
+  FROM c GROUP BY r),
+f AS (SELECT r, max(length) AS longest FROM ({found}) GROUP BY r)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
+  sha256(coalesce(k.kept, '')) AS kept_sha256, CAST(coalesce(f.longest, 0) AS BIGINT) AS longest_repeat
+FROM d LEFT JOIN k USING (r) LEFT JOIN f USING (r)
+"""
+
+
+@query("op12_substring_dedup", _op12_sql())
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.without_repeats(read_table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    return found.select("doc_id", "n_words", "n_removed", digest, "longest_repeat")
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    paths = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    aligned = token_alignment.token_alignment(docs, *paths, digest=True)
+    return aligned.withColumnRenamed("groups", "groups_sha256")
