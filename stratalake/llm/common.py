@@ -31,9 +31,9 @@ LONGEST_REMEMBERED = 48
 class Remembering(dict):
     """A function's results for the arguments met lately: two generations of bounded size."""
 
-    def __init__(self, function) -> None:
+    def __init__(self, function, most: int | None = None) -> None:
         super().__init__()
-        self.function, self.older = function, {}
+        self.function, self.most, self.older = function, most, {}
 
     def __missing__(self, key):
         value = self.older.get(key)
@@ -46,7 +46,7 @@ class Remembering(dict):
 
     def make_room(self) -> None:
         """A full generation becomes the older one, and that one is forgotten."""
-        if len(self) >= REMEMBERED:
+        if len(self) >= (self.most or REMEMBERED):
             self.older = dict(self)
             self.clear()
 

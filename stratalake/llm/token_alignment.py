@@ -37,8 +37,10 @@ from stratalake.llm.common import LONGEST_REMEMBERED, Remembering, prepare_worke
 from stratalake.llm.packing import numbered_blocks, pack, unpack
 
 SPACE_MARK = "▁"
-# Parts that are aligned at a time.
-PARTS_TOGETHER = 8192
+# Parts that are aligned at a time; more of them leave the processor's caches.
+PARTS_TOGETHER = 1024
+# Parts that a worker remembers, in each of two generations.
+PARTS_REMEMBERED = 200_000
 
 # Of a part: tokens of the first, tokens of the second, groups as text, links (first << 32 | second).
 Aligned = tuple[int, int, str, bytes]
@@ -93,7 +95,7 @@ class Aligner:
         over = regex.compile(f"[^{SPACE_MARK}]{SPACE_MARK}")
         self.cuts = not any(over.search(p) for p in pieces)
         self.uneven = regex.compile(r"^ |\s | $")
-        self.of_part = Remembering(lambda part: self.align([part])[0])
+        self.of_part = Remembering(lambda part: self.align([part])[0], PARTS_REMEMBERED)
 
     def parts(self, text: str) -> list[str]:
         """The text cut before runs of spaces that follow something else; each part lost one space.
@@ -150,14 +152,18 @@ class Aligner:
         # Spans of the second are bytes, and do not count the space that it adds.
         b_spans = np.array([p.end for p in second], np.int64) + 1
         a_ends, b_ends = self.first_table.refined(a, a_spans), self.second_table.refined(b, b_spans)
-        borders = np.cumsum([len(p.encode("utf-8", "surrogatepass")) + 1 for p in parts])
-        if not (np.isin(borders, a_ends).all() and np.isin(borders, b_ends).all()):
+        sizes = map(len, parts) if text.isascii() else (len(p.encode("utf-8", "surrogatepass")) for p in parts)
+        borders = np.cumsum(np.fromiter(sizes, np.int64, len(parts)) + 1)
+        a_at, b_at = np.zeros(len(raw) + 1, bool), np.zeros(len(raw) + 1, bool)
+        a_at[a_ends], b_at[b_ends] = True, True
+        common = a_at & b_at
+        if not common[borders].all():
             return None
-        return self._groups(a, a_ends, b, b_ends, borders)
+        return self._groups(a, a_ends, b, b_ends, common, borders)
 
-    def _groups(self, a, a_ends, b, b_ends, borders) -> list[Aligned]:
+    def _groups(self, a, a_ends, b, b_ends, common, borders) -> list[Aligned]:
         """Tokens of both and their ends, cut at common ends into groups and at borders into parts."""
-        a_last, b_last = np.isin(a_ends, b_ends), np.isin(b_ends, a_ends)
+        a_last, b_last = common[a_ends], common[b_ends]
         links = a[a_last] << 32 | b[b_last]
         # Tokens in the order of the text form: by group, the first's before the second's.
         group = np.concatenate([2 * (np.cumsum(a_last) - a_last), 2 * (np.cumsum(b_last) - b_last) + 1])
