@@ -34,7 +34,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from stratalake.llm.common import Remembering, prepare_workers
+from stratalake.llm.common import Remembering, prepare_workers, with_fields
 
 # Fixed value: the pattern of this kind of vocabulary.
 PIECE_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -356,7 +356,7 @@ class Vocabulary:
                 some, chars = [], 0
         return out
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: list[int] | memoryview) -> str:
         """The text of the ids' bytes; what is no UTF-8 becomes replacement characters."""
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
@@ -367,6 +367,12 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+def _id_lists(found: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(f) // 4 for f in found)], dtype=np.int32)
+    values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(found))])
+    return pa.ListArray.from_arrays(pa.array(ends), values)
+
+
 def with_tokens(docs: DataFrame, vocabulary_path: str, text_column: str = "text") -> DataFrame:
     """The rows with ``ids``, the tokens of the whole text as an array of integers."""
     prepare_workers(docs.sparkSession)
@@ -374,15 +380,27 @@ def with_tokens(docs: DataFrame, vocabulary_path: str, text_column: str = "text"
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = vocabulary(vocabulary_path)
         for batch in batches:
-            found = known.encode_all(batch.to_pylist())
-            ends = np.cumsum([0, *(len(f) // 4 for f in found)], dtype=np.int32)
-            values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(found))])
-            yield pa.ListArray.from_arrays(pa.array(ends), values)
+            yield _id_lists(known.encode_all(batch.to_pylist()))
 
     step = F.arrow_udf(encode, "array<int>").asNondeterministic()
     return docs.withColumn("ids", step(F.col(text_column).cast("string")))
 
 
+def with_round_trip(docs: DataFrame, vocabulary_path: str, text_column: str = "text") -> DataFrame:
+    """The rows with ``ids`` and ``decoded``, what the ids stand for, from one pass in one worker."""
+    prepare_workers(docs.sparkSession)
+
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = vocabulary(vocabulary_path)
+        for batch in batches:
+            found = known.encode_all(batch.to_pylist())
+            texts = pa.array([known.decode(memoryview(f).cast("i")) for f in found], pa.string())
+            yield pa.StructArray.from_arrays([_id_lists(found), texts], names=["ids", "decoded"])
+
+    step = F.arrow_udf(both, "ids array<int>, decoded string").asNondeterministic()
+    return with_fields(docs, step(F.col(text_column).cast("string")), ["ids", "decoded"])
+
+
 def with_decoded(tokens: DataFrame, vocabulary_path: str, ids_column: str = "ids") -> DataFrame:
     """The rows with ``decoded``, the text that the ids stand for."""
     prepare_workers(tokens.sparkSession)

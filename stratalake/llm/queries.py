@@ -102,7 +102,7 @@ def op2_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = bpe.with_decoded(bpe.with_tokens(docs, path).drop("text"), path)
+    both = bpe.with_round_trip(docs, path)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

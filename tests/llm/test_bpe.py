@@ -91,3 +91,12 @@ def test_nulls_and_clashing_columns(spark):
     got = bpe.with_decoded(bpe.with_tokens(docs, PATH), PATH).collect()
     assert [(list(r.ids), r.decoded) for r in got] == [([], ""), ([], ""), (library_ids("a b"), "a b")]
     assert bpe.with_tokens(docs.limit(0), PATH).count() == 0
+    both = bpe.with_round_trip(docs.selectExpr("doc_id", "text", "ids", "'x' AS decoded"), PATH)
+    assert [(list(r.ids), r.decoded) for r in both.collect()] == [(list(r.ids), r.decoded) for r in got]
+    assert both.columns == ["doc_id", "text", "ids", "decoded"] and bpe.with_round_trip(docs.limit(0), PATH).count() == 0
+
+
+def test_one_worker_encodes_and_decodes(spark):
+    both = bpe.with_round_trip(spark.createDataFrame([(1, "a")], "doc_id int, text string"), PATH)
+    plan = both.select("ids", "decoded")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
