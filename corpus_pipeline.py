@@ -65,7 +65,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text."""
     slim = docs.select("doc_id", "lang", "source", "text")
-    both = bpe.with_decoded(bpe.with_tokens(slim, VOCABULARY), VOCABULARY)
+    both = bpe.with_round_trip(slim, VOCABULARY)
     return both.select(
         "doc_id",
         "lang",
