@@ -15,6 +15,10 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
+# The partition of a table of loads.
+LOAD = "_load"
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -33,6 +37,17 @@ def list_dir(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file; the rest is not read."""
+    fs, hadoop_path = _file_system(spark, path)
+    io = spark._jvm.java.io
+    reader = io.BufferedReader(io.InputStreamReader(fs.open(hadoop_path), "UTF-8"))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
 def columns_ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
@@ -121,7 +136,13 @@ def drop_partition(spark: SparkSession, name: str, column: str, value: str) -> N
 
 
 def live_folders(spark: SparkSession, name: str) -> set[str]:
-    """Paths, without their scheme, that the catalog reads for a table."""
+    """Paths, without their scheme, that the catalog reads for a table, or for a view over loads
+    those that its manifest names."""
+    if spark.catalog.getTable(name).tableType == "VIEW":
+        staged, part = f"{name}__loads", f"PARTITION ({LOAD} = '%s')"
+        loads = spark.table(f"{name}__manifest").first()["loads"]
+        found = [table_location(spark, staged), *(table_location(spark, f"{staged} {part % x}") for x in loads)]
+        return {_bare(path) for path in found}
     found = [table_location(spark, name)]
     if any(c.isPartition for c in spark.catalog.listColumns(name)):
         for row in spark.sql(f"SHOW PARTITIONS {name}").collect():

@@ -6,7 +6,9 @@ the role tables pass through.
 
 import datetime
 import uuid
+from contextlib import suppress
 from functools import reduce
+from unittest import mock
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -14,6 +16,7 @@ from stratalake.config import Layout, scratch_dir
 from stratalake.operators import aggregates, scd2
 from stratalake.plans import backfill as backfills, checks, marts, medallion, publish, silver
 from stratalake.sources import tables
+from stratalake.sources.commits import new_load
 from stratalake.sources.csv_files import (
     add_metadata,
     apply_casts,
@@ -21,7 +24,7 @@ from stratalake.sources.csv_files import (
     rename_columns,
     split_rejects,
 )
-from stratalake.sources.ingest import Batch, ingest
+from stratalake.sources.ingest import Batch, RawTable, ingest
 from stratalake.sources.registry import Registry, list_files
 from stratalake.sources.specs import MONEY, SOURCES, SOURCES_BY_TABLE
 from stratalake.streaming.files import (
@@ -218,6 +221,112 @@ def registry_counts(t):
     return known.groupBy("batch_id").agg(F.sum("row_count").alias("row_count"))
 
 
+@query("s05_interrupted_load", _PAYMENTS_SQL)
+def interrupted_load(t):
+    """Runs that stop before the commit, and after it but before the registry, change no row."""
+    layout = fresh_layout(t)
+    spec = SOURCES_BY_TABLE["order_payments"]
+    raw = RawTable(t.spark, layout, spec.table)
+    halves = [t.payments.filter(F.col("payment_sequential") % 2 == k) for k in (0, 1)]
+    land(halves[0], _landing(layout), spec.table)
+    ingest(t.spark, spec, layout, _landing(layout), BATCH)
+    # Staged and never committed: all rows that are there, once more.
+    raw.log.stage(t.spark.table(raw.name), new_load())
+    land(halves[1], _landing(layout), spec.table)
+    # Committed and never registered.
+    with mock.patch.object(Registry, "record", _not_again(Registry.record)), suppress(ConnectionError):
+        ingest(t.spark, spec, layout, _landing(layout), BATCH)
+    ingest(t.spark, spec, layout, _landing(layout), BATCH)
+    return layout.table(t.spark, "bronze", spec.table).select(*_PAYMENT_COLUMNS)
+
+
+def _not_again(record):
+    """The first call goes through, as a run registers what the one before committed."""
+    left = iter([record])
+
+    def once(*args):
+        if (call := next(left, None)) is None:
+            raise ConnectionError("the driver is lost")
+        return call(*args)
+
+    return once
+
+
+@query(
+    "s21_s02_new_columns",
+    """SELECT kind, CAST(s_suppkey AS VARCHAR) AS seller_id, s_name AS seller_city,
+    CASE WHEN s_suppkey % 2 = 0 THEN CAST(s_nationkey AS VARCHAR) END AS seller_zip_code_prefix,
+    CASE WHEN s_suppkey % 2 = 1 THEN CAST(s_nationkey AS VARCHAR) END AS nation
+    FROM supplier CROSS JOIN (SELECT unnest(['batch', 'stream']) AS kind)""",
+)
+def new_columns(t):
+    """Files of two headers in one load: other order, a column less and a new one."""
+    spec = SOURCES_BY_TABLE["sellers"]
+    stem, key = spec.pattern.replace(".csv", "").strip("*"), F.col("s_suppkey").cast("string")
+    nation = F.col("s_nationkey").cast("string")
+    old = F.concat_ws(",", key, nation, "s_name", F.lit("SP"))
+    new = F.concat_ws(",", nation, "s_name", key)
+    suppliers, loaded = t.table("supplier"), []
+    for kind, load in (("batch", ingest), ("stream", ingest_stream)):
+        layout = fresh_layout(t)
+        for rest, line, header in ((0, old, ",".join(spec.columns)), (1, new, "nation,seller_city,seller_id")):
+            lines = suppliers.filter(F.col("s_suppkey") % 2 == rest).select(line.alias(header))
+            _land_lines(lines, _landing(layout), header, stem)
+        load(t.spark, spec, layout, _landing(layout))
+        rows = layout.table(t.spark, "bronze", "sellers")
+        loaded.append(rows.select(F.lit(kind).alias("kind"), "seller_id", "seller_city", "seller_zip_code_prefix", "nation"))
+    return reduce(DataFrame.unionByName, loaded)
+
+
+@query(
+    "s06_renamed_columns",
+    with_roles(
+        """SELECT CAST(product_id AS VARCHAR) AS product_id, product_name_length,
+        product_description_length FROM b_products"""
+    ),
+)
+def renamed_columns(t):
+    """The files have the two names that the source misspells."""
+    layout = fresh_layout(t)
+    land(t.products, _landing(layout), "products")
+    ingest(t.spark, SOURCES_BY_TABLE["products"], layout, _landing(layout), BATCH)
+    loaded = layout.table(t.spark, "bronze", "products")
+    return loaded.select("product_id", "product_name_length", "product_description_length")
+
+
+@query(
+    "s08_s09_load_columns",
+    """SELECT kind, CAST(c_custkey AS VARCHAR) AS customer_id, 'b2' AS batch_id, known_file, known_change, load_time
+    FROM customer CROSS JOIN (VALUES ('batch', true, true, TIMESTAMP '2024-01-02 00:00:00'),
+      ('stream', true, true, NULL)) v(kind, known_file, known_change, load_time)""",
+)
+def load_columns(t):
+    """Of every row: its batch, whether its file and that file's change are those of the landing
+    folder, and the batch's time; a stream's time is the micro-batch's own, after the files'."""
+    out = []
+    for kind, load in (("batch", BATCH), ("stream", BATCH.batch_id)):
+        layout = fresh_layout(t)
+        land(t.customers.filter("_batch_id = 'b2'"), _landing(layout), "customers")
+        spec = SOURCES_BY_TABLE["customers"]
+        (ingest if kind == "batch" else ingest_stream)(t.spark, spec, layout, _landing(layout), load)
+        files = list_files(t.spark, _landing(layout), spec.pattern)
+        rows = layout.table(t.spark, "bronze", "customers").join(
+            files.drop("path"), F.col("_source_file") == F.col("source_file"), "left"
+        )
+        later = F.col("_ingest_ts") >= F.date_trunc("second", "modified_at")
+        out.append(
+            rows.select(
+                F.lit(kind).alias("kind"),
+                "customer_id",
+                F.col("_batch_id").alias("batch_id"),
+                F.isnotnull("source_file").alias("known_file"),
+                (F.col("_source_modified_at") == F.col("modified_at")).alias("known_change"),
+                (F.col("_ingest_ts") if kind == "batch" else F.when(~later, F.col("_ingest_ts"))).alias("load_time"),
+            )
+        )
+    return reduce(DataFrame.unionByName, out)
+
+
 def _land_lines(lines: DataFrame, folder: str, header: str, stem: str) -> None:
     """Lines as they are, each file with a header."""
     (
