@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from stratalake.config import scratch_dir
 from stratalake.functions import ratio
 
 
@@ -107,6 +108,26 @@ def newest(df: DataFrame, column: str, n: int, tie_break: list[str]) -> DataFram
     return df.orderBy(F.col(column).desc(), *tie_break).limit(n)
 
 
+def with_positions(df: DataFrame, order_by: list, name: str = "position") -> DataFrame:
+    """Each row's place, from 1, in the order of columns that no two rows share.
+
+    Rows are dealt to ranges and sorted there; a row's place is its place in its range after the
+    rows of the ranges before. Only one number per range meets in one place. The sorted rows are
+    written once, as another run might cut the ranges elsewhere.
+    """
+    scratch_dir(df.sparkSession)
+    ranged = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    # The lower bits of these ids count the rows of a partition.
+    in_range = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = ranged.withColumns({"__range": F.spark_partition_id(), "__place": in_range}).checkpoint()
+    sizes = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("__size"))
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__range", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__start"))
+    # One row per range.
+    numbered = placed.join(F.broadcast(starts), "__range")
+    return numbered.withColumn(name, F.col("__start") + F.col("__place") + 1).drop("__range", "__place", "__start")
+
+
 def any_row(df: DataFrame, condition: Column) -> DataFrame:
     """One row saying whether any row meets the condition; stops at the first one found."""
     probe = df.filter(condition).select(F.lit(1).alias("_one")).limit(1)

@@ -132,6 +132,15 @@ def category_performance(
     )
 
 
+def with_first_month(months: DataFrame) -> DataFrame:
+    """Rows of (customer_unique_id, order_month), one per pair, with the person's first month.
+
+    The window holds a person's months, not their orders.
+    """
+    person = Window.partitionBy("customer_unique_id")
+    return months.withColumn("cohort_month", F.min("order_month").over(person))
+
+
 def customer_cohorts(orders: DataFrame, customers: DataFrame, **opts) -> DataFrame:
     """Per first-order month and order month: active people, orders and retention.
 
@@ -148,9 +157,8 @@ def customer_cohorts(orders: DataFrame, customers: DataFrame, **opts) -> DataFra
         .groupBy("customer_unique_id", "order_month")
         .agg(F.count("order_id").alias("n_orders"))
     )
-    person = Window.partitionBy("customer_unique_id")
     activity = (
-        per_person.withColumn("cohort_month", F.min("order_month").over(person))
+        with_first_month(per_person)
         .filter(F.isnotnull("cohort_month"))
         .groupBy("cohort_month", "order_month")
         .agg(

@@ -30,8 +30,7 @@ class SourceSpec:
     """How one landing source becomes one raw table.
 
     ``columns`` are the names in the file, ``renames`` correct them, ``casts`` name the corrected
-    columns. ``full_load`` sources are replaced on every run. ``multiline`` sources have free
-    text with line breaks.
+    columns. ``full_load`` sources are replaced on every run. All may have line breaks in quoted text.
     """
 
     table: str
@@ -40,7 +39,6 @@ class SourceSpec:
     casts: dict[str, str] = field(default_factory=dict)
     renames: dict[str, str] = field(default_factory=dict)
     full_load: bool = False
-    multiline: bool = False
 
 
 # Names, types and file patterns of the sources.
@@ -114,7 +112,6 @@ SOURCES = [
             "review_creation_date": "timestamp",
             "review_answer_timestamp": "timestamp",
         },
-        multiline=True,
     ),
     SourceSpec(
         table="customers",

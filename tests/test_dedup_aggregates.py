@@ -118,3 +118,19 @@ def test_approximate_distinct(spark, column, expected):
     df = spark.createDataFrame([(0, i % 3) for i in range(50)], "g int, k int")
     got = aggregates.distinct_volume(df, ["g"], column, approximate=True).first()
     assert got.distinct_volume == expected
+
+
+def test_positions_over_many_ranges(spark):
+    from stratalake.operators.aggregates import with_positions
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(5000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 50 END AS v").repartition(9)
+        got = with_positions(df, [F.col("v").desc_nulls_last(), "id"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = sorted(range(5000), key=lambda k: (-(7 if k % 3 == 0 else k % 50), k))
+    assert [r.id for r in sorted(got, key=lambda r: r.position)] == want
+    assert sorted(r.position for r in got) == list(range(1, 5001))
+    assert with_positions(df.limit(0), ["id"]).count() == 0
+    assert "SinglePartition" not in with_positions(df, ["id"]).select("id")._jdf.queryExecution().optimizedPlan().toString()

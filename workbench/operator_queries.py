@@ -140,21 +140,14 @@ query(
           FROM b_fct_orders JOIN b_customers USING (customer_id))"""
     ),
 )(
-    lambda t: _first_months(
-        joins.person_orders(t.orders, t.dim_customers).select(
-            "customer_unique_id", month_of(BOUGHT).alias("order_month")
-        )
+    lambda t: marts.with_first_month(
+        joins.person_orders(t.orders, t.dim_customers)
+        .select("customer_unique_id", month_of(BOUGHT).alias("order_month"))
+        .distinct()
     )
 )
 
 
-def _first_months(activity):
-    """Distinct months per person first, so the join back has one row per month."""
-    months = activity.distinct()
-    first = months.groupBy("customer_unique_id").agg(F.min("order_month").alias("cohort_month"))
-    return months.join(first, "customer_unique_id")
-
-
 query(
     "j08_cohort_sizes",
     over_marts("SELECT cohort_month, order_month, active_customers, cohort_size FROM m_cohorts"),
@@ -591,6 +584,38 @@ query(
     .drop("place")
 )
 
+query(
+    "o02_display_positions",
+    "SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_name, c_custkey) AS position FROM customer",
+)(lambda t: aggregates.with_positions(t.table("customer").select("c_custkey", "c_name"), ["c_name", "c_custkey"]))
+
+query(
+    "o02_lines_newest_first",
+    """SELECT l_orderkey, l_linenumber, l_shipdate, row_number() OVER (
+      ORDER BY l_shipdate DESC, l_orderkey, l_linenumber) AS position FROM lineitem""",
+)(
+    lambda t: aggregates.with_positions(
+        t.table("lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("timestamp").alias("l_shipdate")),
+        [F.col("l_shipdate").desc(), "l_orderkey", "l_linenumber"],
+    )
+)
+
+query(
+    "o03_companion_positions",
+    with_roles(
+        """SELECT dayname(order_date) AS day, count(*) AS orders,
+        row_number() OVER (ORDER BY isodow(order_date)) AS position
+        FROM b_fct_orders WHERE order_date IS NOT NULL GROUP BY isodow(order_date), 1"""
+    ),
+)(
+    lambda t: aggregates.with_positions(
+        t.fct_orders.filter(F.isnotnull(BOUGHT))
+        .groupBy(weekday_name(BOUGHT).alias("day"), weekday_sort(BOUGHT).alias("place"))
+        .agg(F.count(F.lit(1)).alias("orders")),
+        ["place"],
+    ).drop("place")
+)
+
 query("o04_exists", "SELECT count(*) > 0 AS found FROM orders WHERE o_orderstatus = 'P'")(
     lambda t: aggregates.any_row(t.table("orders"), F.col("o_orderstatus") == "P")
 )

@@ -156,6 +156,25 @@ query("q08_gold_suite", suite_sql(checks.GOLD_CHECKS))(
     lambda t: quality.run_suite(gold_tables(t), checks.GOLD_CHECKS)
 )
 
+@query(
+    "q15_gate_stops",
+    """SELECT 'stopped' AS outcome, 'lines.l_orderkey: unique observed=' || n || ' fails=' || n AS failure
+      FROM (SELECT count(l_orderkey) - count(DISTINCT l_orderkey) AS n FROM lineitem)
+    UNION ALL SELECT 'passed', 'lines.not_null(l_orderkey)'""",
+)
+def gate_stops(t):
+    """A gate lets a table through whose keys are there, and stops at one whose keys repeat."""
+    lines, outcomes = t.table("lineitem").select("l_orderkey"), []
+    for checks_of in (TableChecks("lines", unique=["l_orderkey"]), TableChecks("lines", not_null=["l_orderkey"])):
+        results = quality.run_suite({"lines": lines}, [checks_of])
+        try:
+            quality.enforce(results)
+            outcomes.append(("passed", "lines.not_null(l_orderkey)"))
+        except quality.QualityError as error:
+            outcomes.append(("stopped", str(error)))
+    return t.spark.createDataFrame(outcomes, "outcome string, failure string")
+
+
 _HISTORY = TableChecks(
     "history",
     not_null=["scd_id", "c_custkey", "valid_from", "is_current"],

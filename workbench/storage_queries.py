@@ -327,6 +327,24 @@ def load_columns(t):
     return reduce(DataFrame.unionByName, out)
 
 
+@query(
+    "s01_quoted_line_breaks",
+    """SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, s_name || chr(10) || '"' || chr(10) || ',' || s_nationkey
+    AS seller_city, 'SP' AS seller_state FROM supplier""",
+)
+def quoted_line_breaks(t):
+    """A field of each row has line breaks, quotes and commas, in a source without free text."""
+    layout = fresh_layout(t)
+    city = F.concat("s_name", F.lit('\n"\n,'), F.col("s_nationkey").cast("string"))
+    rows = t.table("supplier").select(
+        F.col("s_suppkey").cast("string").alias("seller_id"), F.lit("01").alias("seller_zip_code_prefix"),
+        city.alias("seller_city"), F.lit("SP").alias("seller_state"),
+    )
+    land(rows, _landing(layout), "sellers")
+    ingest(t.spark, SOURCES_BY_TABLE["sellers"], layout, _landing(layout), BATCH)
+    return layout.table(t.spark, "bronze", "sellers").select("seller_id", "seller_city", "seller_state")
+
+
 def _land_lines(lines: DataFrame, folder: str, header: str, stem: str) -> None:
     """Lines as they are, each file with a header."""
     (
