@@ -6,13 +6,14 @@ the whole mix, which fixes how many words the mix takes of it. The same integral
 the share of those words that is used by then; its inverse turns the place of a document in its
 source's line of words into a time, the document's training position.
 
-The line of a source is its documents in the order of a hash of their ids, repeated as often as
-the target asks for. Hot sources are cut into buckets of that order: only sums per bucket meet in
-one place, so no task needs a whole source.
+The line of a source is its documents in the order of a hash of their ids and texts, repeated as
+often as the target asks for. Hot sources are cut into buckets of that order: only sums per bucket
+meet in one place, so no task needs a whole source, whatever the ids.
 
 Defined results: a null or empty text has size 0 and is never taken; a null source is a source of
-its own, after all others; rows with equal ids are placed side by side in order of their sizes,
-and each counts; an empty table gives an empty mix. Columns that are not used are left out.
+its own, after all others; rows with equal ids each count, and which of their texts is used does
+not depend on how they are stored; rows that also share their text may stand for each other; an
+empty table gives an empty mix. Columns that are not used are left out.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stratalake.llm.common import WORD_PATTERN, checkpointed
+from stratalake.llm.common import WORD_PATTERN, checkpointed, written
+from stratalake.operators.aggregates import with_positions
 
 # Leading hexadecimal digits of the order that make a bucket: 4,096 of them for each source.
 BUCKET_DIGITS = 3
@@ -126,17 +128,24 @@ def document_takes(
     id_column: str = "doc_id",
     source_column: str = "source",
     text_column: str = "text",
+    row_column: str | None = None,
 ) -> DataFrame:
     """One row per document: its size, its source's size and target, and the words taken of it.
 
-    ``offset`` is the place of the document's first word in one pass over its source.
+    ``offset`` is the place of the document's first word in one pass over its source. A column that
+    tells rows apart is kept if it is named.
     """
     source = F.col(source_column).cast("string")
+    kept = [] if row_column is None else [row_column]
+    content = F.concat_ws(
+        "|", F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.coalesce(F.col(text_column).cast("string"), F.lit(""))
+    )
     sized = docs.select(
+        *kept,
         F.col(id_column).alias("__id"),
         F.when(source.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), source)).alias("__source"),
         word_volume(F.col(text_column)).alias("size"),
-        F.md5(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")).alias("__order"),
+        F.md5(content.cast("binary")).alias("__order"),
     ).withColumn("__bucket", F.substring("__order", 1, BUCKET_DIGITS))
     # Counting words reads every text; what follows needs the counts three times.
     sized = checkpointed(sized)
@@ -152,7 +161,7 @@ def document_takes(
     )
     line = (
         Window.partitionBy("__source", "__bucket")
-        .orderBy("__order", "__id", "size")
+        .orderBy("__order", "__id", "size", *kept)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offset = F.col("__start") + F.coalesce(F.col("__inside"), F.lit(0))
@@ -166,6 +175,7 @@ def document_takes(
         .withColumn("offset", offset)
     )
     return placed.select(
+        *kept,
         F.col("__id").alias(id_column),
         F.when(F.col("__source") != "1", F.substring("__source", 2, 1 << 30)).alias(source_column),
         "size",
@@ -177,28 +187,56 @@ def document_takes(
     )
 
 
-def training_order(takes: DataFrame, schedules: tuple[Schedule, ...] = CURRICULUM) -> DataFrame:
-    """One row per use of a document, range-sorted by its training position from 0 to 1.
+def document_uses(takes: DataFrame, schedules: tuple[Schedule, ...] = CURRICULUM) -> DataFrame:
+    """One row per use of a document with its training position from 0 to 1, and one row without
+    words and position for each document that is not used.
 
     ``words`` are the words this use takes: all of the document, but for the last use of the one
     document per source at which the target is reached. A position is the time at which the
-    middle of those words is due.
+    middle of those words is due, the inverse of the schedule's integral.
     """
-    uses = F.ceil(F.col("taken") / F.col("size")).cast("int")
-    used = (
-        takes.filter("taken > 0")
-        .withColumn("use", F.explode(F.sequence(F.lit(0), uses - 1)))
-        .withColumn("words", F.least(F.col("size"), F.col("taken") - F.col("use") * F.col("size")))
-    )
-    share = (
-        F.col("use") * F.col("source_size") + F.col("offset") + F.col("words") / F.lit(2.0)
-    ) / F.col("target")
+    uses = F.when(F.col("taken") > 0, F.ceil(F.col("taken") / F.col("size")).cast("int"))
+    spread = takes.withColumn("use", F.explode_outer(F.sequence(F.lit(0), uses - 1))).withColumn(
+        "words", F.least(F.col("size"), F.col("taken") - F.col("use") * F.col("size"))
+    )
+    words = F.when(F.col("use").isNotNull(), F.col("words"))
+    share = (F.col("use") * F.col("source_size") + F.col("offset") + F.col("words") / F.lit(2.0)) / F.col("target")
     position = F.lit(None).cast("double")
     for k, schedule in enumerate(schedules):
         position = F.when(F.col("schedule") == k, schedule.time_of(share)).otherwise(position)
-    ids = [c for c in takes.columns if c not in ("taken", "schedule")]
-    return used.withColumn("position", position).select(*ids, "use", "words", "position").orderBy(
-        "position", takes.columns[0], "use"
+    used = F.col("use").isNotNull()
+    return spread.withColumns({"words": words, "position": F.when(used, position)}).drop("taken", "schedule")
+
+
+def training_order(takes: DataFrame, schedules: tuple[Schedule, ...] = CURRICULUM) -> DataFrame:
+    """The uses of documents, range-sorted by their training positions."""
+    return document_uses(takes, schedules).filter("use IS NOT NULL").orderBy("position", takes.columns[0], "use")
+
+
+def mixed_takes(
+    docs: DataFrame, id_column: str = "doc_id", source_column: str = "source", text_column: str = "text"
+) -> DataFrame:
+    """One row per document: the words the mix takes of it, the positions of its first and last use,
+    and the place of its first use among all, from 1, in the range-sorted training order."""
+    keyed = docs.withColumn("__row", F.monotonically_increasing_id())
+    # The ids are kept with the sizes, which are read once.
+    takes = document_takes(
+        keyed, id_column=id_column, source_column=source_column, text_column=text_column, row_column="__row"
+    )
+    # Words of a source start at one offset each, so uses that are due at once have an order.
+    order = [F.col("position").asc_nulls_last(), F.col(source_column).asc_nulls_last(), "offset", "use", "__row"]
+    placed = with_positions(document_uses(takes), order, "__number")
+    same = [id_column, source_column, "size", "source_size", "target"]
+    used = F.col("use").isNotNull()
+    return (
+        placed.groupBy("__row", *same)
+        .agg(
+            F.coalesce(F.sum("words"), F.lit(0)).alias("taken"),
+            F.min("position").alias("first_position"),
+            F.max("position").alias("last_position"),
+            F.min(F.when(used, F.col("__number"))).alias("first_place"),
+        )
+        .select(id_column, "size", "source_size", "target", "taken", source_column, "first_position", "last_position", "first_place")
     )
 
 
@@ -208,23 +246,17 @@ def mixed_documents(
     """The documents in training order, each as often as the mix uses it, in their own columns.
 
     Texts stay whole: the one document per source that the mix cuts is used once more if at least
-    half of it is taken, and else stays at its full uses. Rows that share an id share its uses.
+    half of it is taken, and else stays at its full uses. Positions are found without texts, which
+    are read again to be joined once and sorted once.
     """
-    takes = document_takes(docs, id_column=id_column, source_column=source_column, text_column=text_column)
-    order = training_order(takes).filter("words * 2 >= size")
-    times = order.groupBy(F.col(id_column).alias("__id"), F.col("size").alias("__size")).agg(
-        F.sort_array(F.collect_list("position")).alias("__positions")
-    )
-    same = Window.partitionBy(F.col(id_column), F.col("__words"))
-    numbered = docs.withColumn("__words", word_volume(F.col(text_column))).withColumns(
-        {"__k": F.row_number().over(same.orderBy(F.lit(0))) - 1, "__rows": F.count(F.lit(1)).over(same)}
-    )
-    joined = numbered.join(
-        times, F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__words") == F.col("__size"))
-    )
-    own = F.filter(F.col("__positions"), lambda _, i: i % F.col("__rows") == F.col("__k"))
-    return (
-        joined.withColumn("__position", F.explode(own))
-        .orderBy("__position", id_column)
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    numbered = docs.toDF(*names.values()).withColumn("row", F.monotonically_increasing_id())
+    # Rows keep their numbers, also if a task is done again.
+    keyed = written(numbered, "mixing")
+    takes = document_takes(
+        keyed, id_column=names[id_column], source_column=names[source_column], text_column=names[text_column],
+        row_column="row",
     )
+    uses = document_uses(takes).filter("use IS NOT NULL AND words * 2 >= size").select("row", "position")
+    ordered = keyed.join(uses, "row").orderBy("position", names[id_column], "row")
+    return ordered.select(*names.values()).toDF(*names)

@@ -40,7 +40,8 @@ def query(name: str, sql: str | None = None):
 
 OP1_SQL = r"""
 WITH d AS (
-  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place,
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')) AS place,
+    row_number() OVER () AS r,
     CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
   FROM documents),
 s AS (
@@ -56,34 +57,40 @@ l AS (
   FROM w WINDOW p AS (ORDER BY most / weight, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 m AS (SELECT max(level) AS level FROM l WHERE most >= level * weight),
 t AS (
-  SELECT l.source, l.source_size, coalesce(least(most, m.level * weight), most) AS target,
+  SELECT l.source, l.n, l.source_size, coalesce(least(most, m.level * weight), most) AS target,
     CAST(floor(coalesce(least(most, m.level * weight), most) + 0.5) AS BIGINT) AS words
   FROM l CROSS JOIN m),
 o AS (
   SELECT d.*, CAST(coalesce(sum(size) OVER (
-    PARTITION BY source ORDER BY place, doc_id, size
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM d)
-SELECT o.doc_id, o.source, o.size, t.source_size, t.target,
-  CASE WHEN t.source_size = 0 THEN 0 ELSE t.words // t.source_size * o.size
-    + least(o.size, greatest(0, t.words % t.source_size - o.start)) END AS taken
-FROM o JOIN t ON o.source IS NOT DISTINCT FROM t.source
+    PARTITION BY source ORDER BY place, doc_id, size, r
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM d),
+k AS (
+  SELECT o.*, t.n, t.source_size, t.target,
+    CASE WHEN t.source_size = 0 THEN 0 ELSE t.words // t.source_size * o.size
+      + least(o.size, greatest(0, t.words % t.source_size - o.start)) END AS taken
+  FROM o JOIN t ON o.source IS NOT DISTINCT FROM t.source),
+u AS (
+  SELECT *, (use * source_size + start + least(size, taken - use * size) / 2.0::DOUBLE) / target AS share
+  FROM (SELECT *, unnest(range(CASE WHEN taken > 0 THEN (taken + size - 1) // size ELSE 0 END)) AS use FROM k)),
+-- The integral of a weight that goes from one value to another in a straight line, inverted.
+q AS (
+  SELECT *, least(1.0::DOUBLE, greatest(0.0::DOUBLE, CASE n % 3
+    WHEN 1 THEN (sqrt(greatest(0.0::DOUBLE, 20.25::DOUBLE + (-6.0)::DOUBLE * (share * 3.0::DOUBLE))) - 4.5::DOUBLE) / (-3.0)::DOUBLE
+    WHEN 2 THEN sqrt(greatest(0.0::DOUBLE, 0.25::DOUBLE + 2.0::DOUBLE * share)) - 0.5::DOUBLE
+    ELSE share * 2.0::DOUBLE / 2.0::DOUBLE END)) AS position FROM u),
+z AS (SELECT *, row_number() OVER (ORDER BY position, source NULLS LAST, start, use) AS number FROM q),
+f AS (
+  SELECT r, min(position) AS first_position, max(position) AS last_position, min(number) AS first_place
+  FROM z GROUP BY r)
+SELECT k.doc_id, k.size, k.source_size, k.target, k.taken, k.source, f.first_position, f.last_position, f.first_place
+FROM k LEFT JOIN f USING (r)
 """
 
 
 @query("op1_mix_sources", OP1_SQL)
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with the words that the curriculum takes of it, all its uses together."""
-    takes = mixing.document_takes(read_table(spark, sf_dir, "documents"))
-    # Rows that are used have words, so no two of a source start at the same offset; ids may repeat.
-    used = mixing.training_order(takes).groupBy("source", "offset").agg(F.sum("words").alias("taken"))
-    used = used.withColumnsRenamed({"source": "__source", "offset": "__offset"})
-    own = F.col("source").eqNullSafe(F.col("__source")) & (F.col("offset") == F.col("__offset")) & (F.col("size") > 0)
-    return (
-        takes.drop("taken", "schedule")
-        .join(used, own, "left")
-        .withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
-        .drop("__source", "__offset", "offset")
-    )
+    """Every document with the words that the curriculum takes of it, and where its uses come."""
+    return mixing.mixed_takes(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
 @query("op10_quality_rules")

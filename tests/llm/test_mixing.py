@@ -43,7 +43,8 @@ def plain_takes(rows):
     """{(id, source, size): words taken}, summed over equal rows."""
     by = defaultdict(list)
     for i, text, source in rows:
-        by[source].append((hashlib.md5(("" if i is None else str(i)).encode()).hexdigest(), i is not None, i, words(text)))
+        content = f"{'' if i is None else i}|{text or ''}"
+        by[source].append((hashlib.md5(content.encode()).hexdigest(), i is not None, i, words(text)))
     sizes = {s: sum(x[3] for x in own) for s, own in by.items()}
     target, taken = plain_targets(sizes), Counter()
     for s, own in by.items():
@@ -147,6 +148,34 @@ def test_reruns_agree(odd):
     assert sorted(map(repr, a)) == sorted(map(repr, b))
 
 
+def test_the_query_sorts_by_position(spark, odd, tmp_path):
+    _, docs = odd
+    docs.drop("size").write.parquet(str(tmp_path / "documents.parquet"))
+    got = [r for r in QUERIES["op1_mix_sources"](spark, str(tmp_path)).collect() if r.taken]
+    by_place = sorted(got, key=lambda r: r.first_place)
+    assert [r.first_position for r in by_place] == sorted(r.first_position for r in got)
+    uses = mixing.document_uses(mixing.document_takes(docs)).filter("use IS NOT NULL")
+    assert sorted(r.first_place for r in got)[0] == 1 and max(r.first_place for r in got) <= uses.count()
+    plan = mixing.training_order(mixing.document_takes(docs))._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(position" in plan
+
+
+def test_texts_that_share_an_id_do_not_depend_on_storage(spark):
+    rows = [(None, f"a{k} b c", "s") for k in range(6)] + [(1, "x y z", "s"), (2, "u v w " * 9, "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = [Counter(r.text for r in mixing.mixed_documents(docs.repartition(n)).collect()) for n in (1, 3, 5)]
+    assert mixed[0] == mixed[1] == mixed[2]
+
+
+def test_null_ids_are_dealt_to_many_buckets(spark):
+    rows = [(None, f"a{k}", "s") for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    takes = mixing.document_takes(docs, row_column=None)
+    assert takes.select("offset").distinct().count() == 200
+    order = F.md5(F.concat(F.lit("|"), F.col("text")).cast("binary"))
+    assert docs.select(F.substring(order, 1, mixing.BUCKET_DIGITS)).distinct().count() > 150
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.document_takes(empty).count() == mixing.mixed_documents(empty).count() == 0
