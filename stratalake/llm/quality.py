@@ -4,14 +4,18 @@ Per text the rules look at four rates: characters per word, symbols per word, re
 line, and words in repeated three-word windows per word. A fixed cutoff for them rejects whole
 sources that write in another way. Here every (language, source) has its own cutoffs, taken from a
 quantile sketch per rate. Sketches are merged upwards, from sources to languages to everything, so
-that one pass over the measures serves all levels, and a group with few texts uses the cutoffs of
-the next level that has enough. The cutoffs are joined back to the texts, and a text is kept if it
-passes the two absolute rules and every cutoff.
+that one pass over the measures serves all levels. A group's quartiles are drawn to those of the
+level above by as much as its texts are few: they weigh as many as there are, the level above weighs
+``PRIOR`` texts. The cutoffs are joined back to the texts, and a text is kept if it passes the two
+absolute rules and every cutoff.
+
+A sketch counts texts in bins whose bounds grow by a fixed factor. Sketches are merged by adding
+counts, so neither the order of merging nor the number of tasks changes a cutoff, and a quantile is
+the middle of the bin that has it: it is off by no more than ``ERROR`` of its size.
 
 A cutoff lies ``SPREAD`` times the group's interquartile range above its third quartile (or below
 its first), and never nearer to the median than the rule's ``least_spread``, so that a rate which hardly
-varies in a group does not reject its ordinary texts. Sketches compact at random, so quartiles are
-rounded to two places, which makes cutoffs agree between runs but for rare borders.
+varies in a group does not reject its ordinary texts.
 
 Defined results: a null or empty text has no words and fails the absolute rule; null languages and
 sources form groups of their own; repeated rows count each; an empty table gives an empty result.
@@ -20,10 +24,11 @@ Columns of the input that share a name with a result are replaced.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stratalake.llm.common import column_udf, with_fields, written
 
@@ -32,8 +37,13 @@ LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 
 SPREAD = 4.0
-SKETCH_K = 400
-LEAST_GROUP = 200
+# Texts that the level above counts as, beside those of a group.
+PRIOR = 20.0
+# Relative error of a sketch's quantiles, and the growth of its bins that gives it.
+ERROR = 0.01
+GROWTH = (1 + ERROR) / (1 - ERROR)
+# The bin of rates that are zero; those of other rates are above.
+ZERO_BIN = -(1 << 30)
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
 FIELDS = ", ".join(f"{m} long" for m in MEASURES)
@@ -114,48 +124,69 @@ def base_failed() -> Column:
     )
 
 
-def thresholds(measured: DataFrame, keys: tuple[str, ...], least_group: int = LEAST_GROUP) -> DataFrame:
-    """One row per group of ``keys``: the lower and upper cutoff of each rate.
+def bin_of(value: Column) -> Column:
+    """The number of a rate's bin."""
+    return F.when(value > 0, F.ceil(F.log(value) / math.log(GROWTH)).cast("int")).otherwise(F.lit(ZERO_BIN))
 
-    Sketches hold the rates of texts that pass the absolute rules. Each level merges those of the
-    level below: (language, source), language, everything.
-    """
+
+def middle_of(number: Column) -> Column:
+    """The rate that is off by the same part from both bounds of a bin."""
+    middle = F.pow(F.lit(GROWTH), number.cast("double")) * F.lit(2 / (1 + GROWTH))
+    return F.when(number == ZERO_BIN, F.lit(0.0)).otherwise(middle)
+
+
+def sketches(measured: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """(keys, rule, bin, n): texts that pass the absolute rules, counted per rate and bin."""
+    rates = F.array(*[F.struct(F.lit(r.name).alias("rule"), bin_of(rate(r)).alias("bin")) for r in RULES])
     usable = measured.filter(~base_failed())
-    sketches = usable.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"),
-        *[F.kll_sketch_agg_double(rate(r), F.lit(SKETCH_K)).alias(r.name) for r in RULES],
-    )
-    levels = [sketches]
-    for depth in range(len(keys) - 1, -1, -1):
-        above = levels[-1].groupBy(*keys[:depth]).agg(
-            F.sum("__n").alias("__n"),
-            *[F.kll_merge_agg_double(r.name, F.lit(SKETCH_K)).alias(r.name) for r in RULES],
-        )
-        levels.append(above)
-    out = measured.select(*keys).distinct()
-    for depth, level in enumerate(levels):
-        level_keys = keys[: len(keys) - depth]
-        enough = F.lit(True) if depth == len(levels) - 1 else F.col("__n") >= least_group
-        bounds = level.filter(enough).select(
-            *[F.col(k).alias(f"__k_{k}") for k in level_keys],
-            F.struct(*[b for r in RULES for b in _bounds(r)]).alias(f"__level{depth}"),
-        )
-        match = F.lit(True)
-        for k in level_keys:
-            match = match & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-        # The last level is a single row.
-        out = out.join(bounds if level_keys else F.broadcast(bounds), match, "left").drop(
-            *[f"__k_{k}" for k in level_keys]
-        )
-    best = F.coalesce(*[F.col(f"__level{d}") for d in range(len(levels))])
-    return out.select(*keys, best.alias("__cutoffs"))
+    return usable.select(*keys, F.inline(rates)).groupBy(*keys, "rule", "bin").agg(F.count(F.lit(1)).alias("n"))
+
+
+def quartiles(sketch: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """(keys, rule, n, q1, q2, q3) of each group; the windows hold the bins of one sketch."""
+    group = Window.partitionBy(*keys, "rule")
+    up_to = F.sum("n").over(group.orderBy("bin"))
+    counted = sketch.withColumns({"up_to": up_to, "all": F.sum("n").over(group)})
+    found = [
+        middle_of(F.min(F.when(F.col("up_to") >= F.lit(q) * F.col("all"), F.col("bin")))).alias(f"q{k}")
+        for k, q in enumerate((0.25, 0.5, 0.75), 1)
+    ]
+    return counted.groupBy(*keys, "rule").agg(F.sum("n").alias("n"), *found)
+
+
+def thresholds(measured: DataFrame, keys: tuple[str, ...], prior: float = PRIOR) -> DataFrame:
+    """One row per group of ``keys`` that has texts which pass the absolute rules: the lower and upper
+    cutoff of each rate.
+
+    Each level's sketches are sums of those below: (language, source), language, everything.
+    """
+    sketch = written(sketches(measured, keys), "sketches")
+    drawn = None
+    for depth in range(len(keys) + 1):
+        own = quartiles(sketch.groupBy(*keys[:depth], "rule", "bin").agg(F.sum("n").alias("n")), keys[:depth])
+        if drawn is not None:
+            above = drawn.select(
+                *[F.col(k).alias(f"__k_{k}") for k in keys[: depth - 1]], F.col("rule").alias("__rule"),
+                *[F.col(f"q{k}").alias(f"p{k}") for k in (1, 2, 3)],
+            )
+            match = F.col("rule") == F.col("__rule")
+            for k in keys[: depth - 1]:
+                match = match & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+            own = own.join(above, match).select(
+                *keys[:depth], "rule", "n",
+                *[
+                    ((F.col("n") * F.col(f"q{k}") + F.lit(prior) * F.col(f"p{k}")) / (F.col("n") + F.lit(prior))).alias(f"q{k}")
+                    for k in (1, 2, 3)
+                ],
+            )
+        drawn = own
+    of_rule = {r.name: F.max(F.when(F.col("rule") == r.name, F.struct("q1", "q2", "q3"))) for r in RULES}
+    per_group = drawn.groupBy(*keys).agg(*[q.alias(name) for name, q in of_rule.items()])
+    return per_group.select(*keys, F.struct(*[b for r in RULES for b in _bounds(r)]).alias("__cutoffs"))
 
 
 def _bounds(rule: Rule) -> list[Column]:
-    first, middle, third = (
-        F.round(F.kll_sketch_get_quantile_double(F.col(rule.name), F.lit(q)), 2)
-        for q in (0.25, 0.5, 0.75)
-    )
+    first, middle, third = (F.col(rule.name)[q] for q in ("q1", "q2", "q3"))
     margin = F.lit(SPREAD) * (third - first)
     low = F.least(first - margin, middle - rule.least_spread)
     high = F.greatest(third + margin, middle + rule.least_spread)
@@ -170,13 +201,13 @@ def quality_verdicts(
     docs: DataFrame,
     text_column: str = "text",
     keys: tuple[str, ...] = ("lang", "source"),
-    least_group: int = LEAST_GROUP,
+    prior: float = PRIOR,
 ) -> DataFrame:
     """The rows without their texts, with their measures, ``base_failed`` and ``kept``."""
     slim = with_measures(docs, text_column).drop(text_column)
     # Measuring reads every text; the thresholds and the verdicts both need the result.
     measured = written(slim, "measures")
-    cutoffs = thresholds(measured, keys, least_group).select(
+    cutoffs = thresholds(measured, keys, prior).select(
         *[F.col(k).alias(f"__t_{k}") for k in keys], "__cutoffs"
     )
     match = F.lit(True)

@@ -96,7 +96,9 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_quality_rules")
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return quality.quality_verdicts(docs).drop("n_lines")
+    found = quality.quality_verdicts(docs)
+    first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return found.select(*first, "lang", "source")
 
 
 @query("op2_simhash_groups")

@@ -69,6 +69,86 @@ def test_thresholds_follow_their_groups(spark):
     assert all(r.kept for k, r in got.items() if r.source == "t" and int(k[2:]) % 50)
 
 
+def exact_cutoffs(rows):
+    """Cutoffs by (lang, source) from sorted rates, drawn to the levels above; and by how much the
+    sketch's error may move them."""
+    rates = {}
+    for lang, source, m in rows:
+        for level in ((), (lang,), (lang, source)):
+            for r in quality.RULES:
+                part, whole = (m[quality.MEASURES.index(x)] for x in (r.part, r.whole))
+                rates.setdefault((level, r.name), []).append(part / whole)
+
+    def quartiles(level, name):
+        own = sorted(rates[level, name])
+        found = [own[int(np.ceil(q * len(own))) - 1] for q in (0.25, 0.5, 0.75)]
+        if not level:
+            return found
+        n, above = len(own), quartiles(level[:-1], name)
+        return [(n * a + quality.PRIOR * b) / (n + quality.PRIOR) for a, b in zip(found, above)]
+
+    return {level: {r.name: quartiles(level, r.name) for r in quality.RULES} for level, _ in rates if len(level) == 2}
+
+
+def test_verdicts_equal_those_of_exact_quantiles(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    measured = [(d.doc_id, d.lang, d.source, plain(d.text)) for d in docs]
+    usable = [(lang, source, m) for _, lang, source, m in measured if m[0] >= 50 and 100 * m[5] <= 50 * m[0]]
+    exact = exact_cutoffs(usable)
+    got = {r.doc_id: r.kept for r in QUERIES["op10_quality_rules"](spark, SF_DIR).collect()}
+    close = 0
+    for doc_id, lang, source, m in measured:
+        if m[0] < 50 or 100 * m[5] > 50 * m[0]:
+            assert not got[doc_id]
+            continue
+        verdicts = set()
+        for e in (-1, 0, 1):  # quartiles that are off by the sketch's error, outwards and inwards
+            good = True
+            for r in quality.RULES:
+                q1, q2, q3 = exact[lang, source][r.name]
+                a, b, c = q1 * (1 - e * quality.ERROR), q2, q3 * (1 + e * quality.ERROR)
+                part, whole = (m[quality.MEASURES.index(x)] for x in (r.part, r.whole))
+                margin = quality.SPREAD * (c - a)
+                high = max(c + margin, b * (1 + e * quality.ERROR) + r.least_spread)
+                low = min(a - margin, b * (1 - e * quality.ERROR) - r.least_spread) if r.both_sides else -1
+                good = good and low <= part / whole <= high
+            verdicts.add(good)
+        close += len(verdicts) > 1
+        assert got[doc_id] in verdicts
+    assert close <= len(measured) / 50
+
+
+def test_every_group_has_cutoffs_of_its_own_and_reruns_agree(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang", "source")
+    found = []
+    for n in (1, 5):
+        rows = quality.thresholds(quality.with_measures(docs.repartition(n)), ("lang", "source")).collect()
+        found.append(sorted(map(repr, rows)))
+        # Bins are shared, so groups that write alike come to the same numbers.
+        assert len(rows) == 80 and len({repr(r["__cutoffs"]) for r in rows}) > 40
+    measured = [(d.lang, d.source, plain(d.text)) for d in docs.collect()]
+    exact = exact_cutoffs([x for x in measured if x[2][0] >= 50 and 100 * x[2][5] <= 50 * x[2][0]])
+    for r in rows:
+        for rule in quality.RULES:
+            q1, q2, q3 = exact[r.lang, r.source][rule.name]
+            high = max(q3 + quality.SPREAD * (q3 - q1), q2 + rule.least_spread)
+            off = quality.ERROR * 1.001 * ((1 + quality.SPREAD) * q3 + quality.SPREAD * q1 + q2)
+            assert abs(r["__cutoffs"][f"high_{rule.name}"] - high) <= off
+    assert found[0] == found[1]
+
+
+def test_sketches_keep_their_error(spark):
+    rng = np.random.default_rng(3)
+    values = np.concatenate([np.exp(rng.normal(0, 3, 4001)), np.zeros(500)])
+    df = spark.createDataFrame([("r", float(v)) for v in values], "rule string, v double")
+    bins = df.groupBy("rule", quality.bin_of(df.v).alias("bin")).count().withColumnRenamed("count", "n")
+    got = quality.quartiles(bins, ()).first()
+    order = np.sort(values)
+    for q, found in zip((0.25, 0.5, 0.75), (got.q1, got.q2, got.q3)):
+        exact = order[int(np.ceil(q * len(order))) - 1]
+        assert abs(found - exact) <= quality.ERROR * exact * 1.0001
+
+
 def test_defined_results(spark):
     good = " ".join(f"word{k}" for k in range(60))
     rows = [(1, None, None, "s"), (2, "", "a", None), (3, good, None, None), (3, good, None, None), (None, good, "a", "s")]
