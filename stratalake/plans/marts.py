@@ -243,7 +243,8 @@ def sales_wide(
     """Per order item: everything the sales dashboard needs, so it joins nothing.
 
     Customer and payment are joined at order grain, and the items, the largest input, meet the
-    finished order rows in a single join.
+    finished order rows in a single join. Products come last: items that are stored by order are
+    then moved at most once.
     """
     order_rows = orders.select(
         "order_id",
@@ -259,12 +260,11 @@ def sales_wide(
         primary_payment(payments), "order_id", "left"
     )
     labels = products.select("product_id", "product_category_name_english")
-    item_rows = items_with_products(
-        items.select("order_id", "order_item_id", "product_id", "seller_id", "total_item_value"),
-        labels,
-        **opts,
+    item_rows = items.select(
+        "order_id", "order_item_id", "product_id", "seller_id", "total_item_value"
     )
-    return items_with_orders(item_rows, order_side, count_on=items, **opts).select(
+    ordered = items_with_orders(item_rows, order_side, **opts)
+    return items_with_products(ordered, labels, count_on=items, **opts).select(
         "order_id",
         "order_item_id",
         "product_id",
@@ -285,7 +285,10 @@ def sales_wide(
 
 
 def ops_wide(orders: DataFrame, customers: DataFrame, reviews: DataFrame, **opts) -> DataFrame:
-    """Per order: everything the operations dashboard needs."""
+    """Per order: everything the operations dashboard needs.
+
+    Reviews come first: orders and reviews that are stored by order meet where they are.
+    """
     order_rows = orders.select(
         "order_id",
         "customer_id",
@@ -299,9 +302,9 @@ def ops_wide(orders: DataFrame, customers: DataFrame, reviews: DataFrame, **opts
         is_late("delivery_delay_days").alias("is_late_delivery"),
     )
     places = customers.select("customer_id", "customer_state", "customer_city")
+    reviewed = order_rows.join(latest_review(reviews), "order_id", "left")
     return (
-        lookup_join(order_rows, places, "customer_id", "left", **opts)
-        .join(latest_review(reviews), "order_id", "left")
+        lookup_join(reviewed, places, "customer_id", "left", count_on=orders, **opts)
         .select(
             "order_id",
             "customer_id",

@@ -14,14 +14,24 @@ INPUT_BYTES_PER_PARTITION = 64 << 20
 UNKNOWN_BYTES = 1 << 62
 
 
+def _known_bytes(plan) -> int:
+    leaves = plan.collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < UNKNOWN_BYTES)
+
+
 def input_bytes(df: DataFrame) -> int:
     """Sum of the known sizes of the plan's leaf relations; nothing is optimised or run.
 
-    A leaf of unknown size, such as the result of an RDD, adds nothing.
+    A leaf of unknown size, such as the result of an RDD, adds nothing; nor does a table whose
+    partitions the catalog keeps, as their files are listed for a query's own partitions only.
     """
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    return sum(size for size in sizes if size < UNKNOWN_BYTES)
+    return _known_bytes(df._jdf.queryExecution().analyzed())
+
+
+def listed_bytes(df: DataFrame) -> int:
+    """As ``input_bytes``, after partitions are pruned and their files listed; no file is read."""
+    return _known_bytes(df._jdf.queryExecution().optimizedPlan())
 
 
 def shuffle_width(spark: SparkSession) -> int:
@@ -36,7 +46,18 @@ def fit_session(df: DataFrame) -> None:
     Shuffles get enough partitions, never fewer than the session has: AQE merges partitions that
     turn out small but does not split those that turn out large.
     """
-    spark = df.sparkSession
-    needed = math.ceil(input_bytes(df) / INPUT_BYTES_PER_PARTITION)
+    fit_session_to(df.sparkSession, input_bytes(df))
+
+
+def fit_session_to(spark: SparkSession, size: int) -> None:
+    """``fit_session`` for an input whose size is known."""
+    needed = math.ceil(size / INPUT_BYTES_PER_PARTITION)
     if needed > shuffle_width(spark):
         spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+
+
+def bucket_count(sizes: list[int]) -> int:
+    """Buckets for tables that are joined by one key: a power of two, so that it seldom changes, by
+    the largest of their sizes."""
+    largest = max(sizes, default=0)
+    return 1 << max(0, math.ceil(math.log2(max(1, largest / INPUT_BYTES_PER_PARTITION))))

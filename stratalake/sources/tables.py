@@ -8,7 +8,10 @@ and a failed write leaves the table as it was.
 from __future__ import annotations
 
 import datetime
+import re
 import uuid
+from collections import Counter
+from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
 
@@ -48,6 +51,12 @@ def first_line(spark: SparkSession, path: str) -> str | None:
         reader.close()
 
 
+def folder_bytes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Size of each file directly below a folder."""
+    fs, hadoop_path = _file_system(spark, path)
+    return {status.getPath().getName(): status.getLen() for status in fs.listStatus(hadoop_path)}
+
+
 def columns_ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
@@ -64,13 +73,45 @@ def _same_columns(a: T.StructType, b: T.StructType) -> bool:
     return shape(a) == shape(b)
 
 
-def bind_table(spark: SparkSession, name: str, path: str, schema: T.StructType) -> None:
+@dataclass(frozen=True)
+class Buckets:
+    """Rows dealt to ``n`` buckets by a hash of ``column``, sorted by it within their files.
+
+    Tables with equal buckets are joined and grouped by the column without a shuffle.
+    """
+
+    column: str
+    n: int
+
+
+# A bucket is read by one task, which nothing splits. Beyond this many times the mean size, and
+# this size, the buckets are not declared, and readers shuffle as for any other table.
+LARGEST_BUCKET = 4
+SMALL_BUCKET_BYTES = 256 << 20
+
+_BUCKET_OF_FILE = re.compile(r"_(\d+)(?:\.c\d+)?\.")
+
+
+def table_buckets(spark: SparkSession, name: str) -> Buckets | None:
+    """The buckets that the catalog knows of a table."""
+    wanted = F.col("col_name").isin("Num Buckets", "Bucket Columns")
+    detail = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").filter(wanted).collect()}
+    if "Num Buckets" not in detail:
+        return None
+    return Buckets(detail["Bucket Columns"].strip("[]`"), int(detail["Num Buckets"]))
+
+
+def bind_table(
+    spark: SparkSession, name: str, path: str, schema: T.StructType, buckets: Buckets | None = None
+) -> None:
     """Make ``name`` read ``path``, creating the table or moving it.
 
     A table whose columns stay, or that gets more, is moved without ever being absent. When columns
-    leave or change their type the entry is dropped and created again; the files of an external
-    table are not touched.
+    leave or change their type, or the buckets change, the entry is dropped and created again; the
+    files of an external table are not touched.
     """
+    if spark.catalog.tableExists(name) and table_buckets(spark, name) != buckets:
+        spark.sql(f"DROP TABLE {name}")
     if spark.catalog.tableExists(name):
         known = spark.table(name).schema
         added = T.StructType([f for f in schema.fields if f.name not in known.fieldNames()])
@@ -83,7 +124,10 @@ def bind_table(spark: SparkSession, name: str, path: str, schema: T.StructType)
                 spark.catalog.refreshTable(name)
             return
         spark.sql(f"DROP TABLE {name}")
-    spark.sql(f"CREATE TABLE {name} ({columns_ddl(schema)}) USING parquet LOCATION '{path}'")
+    layout = ""
+    if buckets is not None:
+        layout = f"CLUSTERED BY (`{buckets.column}`) SORTED BY (`{buckets.column}`) INTO {buckets.n} BUCKETS "
+    spark.sql(f"CREATE TABLE {name} ({columns_ddl(schema)}) USING parquet {layout}LOCATION '{path}'")
 
 
 def replace_table(df: DataFrame, name: str, path: str) -> str:
@@ -95,6 +139,42 @@ def replace_table(df: DataFrame, name: str, path: str) -> str:
     return target
 
 
+def is_even(sizes: dict[str, int], buckets: Buckets) -> bool:
+    """Whether no bucket of a written folder is too large for one task."""
+    per_bucket = Counter()
+    for file, size in sizes.items():
+        if found := _BUCKET_OF_FILE.search(file):
+            per_bucket[int(found[1])] += size
+    largest = max(per_bucket.values(), default=0)
+    return largest <= max(SMALL_BUCKET_BYTES, LARGEST_BUCKET * sum(per_bucket.values()) / buckets.n)
+
+
+def replace_bucketed(df: DataFrame, name: str, path: str, buckets: Buckets) -> str:
+    """As ``replace_table``, with the rows in buckets.
+
+    Rows are rebalanced by the bucket column into as many partitions as buckets, so a partition is
+    a bucket and writes one file. Adaptive execution splits the partition of a hot key over several
+    tasks, each with a file of its own. If a bucket is too large to be read by one task all the
+    same, the table is bound without buckets: its files are read like any others.
+    """
+    spark = df.sparkSession
+    target = f"{path.rstrip('/')}/v_{uuid.uuid4().hex}"
+    staged = f"{name}__{uuid.uuid4().hex[:12]}"
+    (
+        df.hint("rebalance", buckets.n, buckets.column)
+        .write.bucketBy(buckets.n, buckets.column)
+        .sortBy(buckets.column)
+        .option("path", target)
+        .format("parquet")
+        .saveAsTable(staged)
+    )
+    # Only the entry: the files of an external table stay.
+    spark.sql(f"DROP TABLE {staged}")
+    even = is_even(folder_bytes(spark, target), buckets)
+    bind_table(spark, name, target, df.schema, buckets if even else None)
+    return target
+
+
 def ensure_partitioned(
     spark: SparkSession, name: str, path: str, schema: T.StructType, column: str
 ) -> None:

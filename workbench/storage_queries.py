@@ -483,6 +483,39 @@ def history_table(t):
     return history.history().drop("part")
 
 
+def _by_order(t, layout, n=8):
+    """The facts as the run stores them, with as many buckets."""
+    buckets = tables.Buckets("order_id", n)
+    for fact in medallion.FACTS_BY_ORDER:
+        name, path = layout.name("silver", fact), layout.path("silver", fact)
+        tables.replace_bucketed(getattr(t, fact), name, path, buckets)
+    return [layout.table(t.spark, "silver", fact) for fact in medallion.FACTS_BY_ORDER]
+
+
+@query("m01_v06_v08_stored_by_order", over_marts("FROM m_sales_daily"))
+def sales_daily_stored(t):
+    orders, items, payments, _ = _by_order(t, fresh_layout(t))
+    return marts.sales_daily(orders, items, payments)
+
+
+@query("m02_v07_stored_by_order", over_marts("FROM m_category"))
+def category_performance_stored(t):
+    orders, items, _, _ = _by_order(t, fresh_layout(t))
+    return marts.category_performance(items, orders, t.dim_products)
+
+
+@query("m05_stored_by_order", over_marts("FROM m_sales_wide"))
+def sales_wide_stored(t):
+    orders, items, payments, _ = _by_order(t, fresh_layout(t))
+    return marts.sales_wide(items, orders, t.dim_customers, t.dim_products, payments)
+
+
+@query("m06_v09_stored_by_order", over_marts("FROM m_ops_wide"))
+def ops_wide_stored(t):
+    orders, _, _, reviews = _by_order(t, fresh_layout(t))
+    return marts.ops_wide(orders, t.dim_customers, reviews)
+
+
 @query("u01_compact", over_marts("FROM m_sales_wide"))
 def compact(t):
     layout = fresh_layout(t)
