@@ -101,6 +101,21 @@ def _join(fact, lookup, keys, how, within):
     return fact.join(renamed, condition, how).drop(*[f"_lookup_{k}" for k in keys])
 
 
+def spread_hot_keys(
+    fact: DataFrame, lookup: DataFrame, keys: list[str], count_on: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame] | None:
+    """Both sides with a column ``_salt``, by which rows of a hot key may be told apart; None if no
+    key is hot. The keys of ``count_on`` are counted, by default the fact's."""
+    types = _key_types(fact, lookup, keys)
+    if types is None:
+        raise ValueError(f"keys {keys} have types that cannot be salted; cast both sides alike")
+    hot = hot_keys(fact if count_on is None else count_on, keys, types)
+    if hot is None:
+        return None
+    key_hash = _key_hash(keys, types)
+    return _salt(fact, key_hash, hot), _repeat(lookup, key_hash, hot)
+
+
 def lookup_join(
     fact: DataFrame,
     lookup: DataFrame,
@@ -121,20 +136,10 @@ def lookup_join(
     keys = [keys] if isinstance(keys, str) else list(keys)
     if not salt:
         return _join(fact, lookup, keys, how, within)
-    types = _key_types(fact, lookup, keys)
-    if types is None:
-        raise ValueError(f"keys {keys} have types that cannot be salted; cast both sides alike")
-    hot = hot_keys(fact if count_on is None else count_on, keys, types)
-    if hot is None:
+    sides = spread_hot_keys(fact, lookup, keys, count_on)
+    if sides is None:
         return _join(fact, lookup, keys, how, within)
-    key_hash = _key_hash(keys, types)
-    salted = _join(
-        _salt(fact, key_hash, hot),
-        _repeat(lookup, key_hash, hot),
-        keys + ["_salt"],
-        how,
-        within,
-    )
+    salted = _join(*sides, keys + ["_salt"], how, within)
     return salted.drop("_salt")
 
 

@@ -1,6 +1,6 @@
 """Version history, upserts and schema alignment."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from stratalake.operators import merge, scd2
 from workbench.bindings import FIRST_RUN, SECOND_RUN, Roles, with_roles
@@ -152,6 +152,60 @@ def _as_of(t: Roles, **opts) -> DataFrame:
 query("t07_j16_as_of", _AS_OF_SQL)(_as_of)
 query("t07_j16_as_of_key_search", _AS_OF_SQL)(lambda t: _as_of(t, salt=True))
 
+query("t07_j16_as_of_by_time", _AS_OF_SQL)(
+    lambda t: scd2.scd2_as_of_by_time(
+        t.table("orders").select(
+            "o_orderkey",
+            F.col("o_custkey").alias("c_custkey"),
+            F.col("o_orderdate").cast("timestamp").alias("at"),
+        ),
+        customers_history(t, "close"),
+        "c_custkey",
+        "at",
+        ["c_mktsegment", "c_nationkey"],
+    )
+)
+
+
+# A version of each priority for each day with an order of it: five keys, thousands of versions
+# each. Every seventh version ends a day early, so that some facts fall between versions.
+@query(
+    "t07_j16_as_of_long_history",
+    """WITH days AS (SELECT o_orderpriority AS k, CAST(o_orderdate AS DATE) AS day,
+        max(o_totalprice) AS top_price FROM orders GROUP BY 1, 2),
+      versions AS (SELECT *, row_number() OVER w AS n, lead(day) OVER w AS following FROM days
+        WINDOW w AS (PARTITION BY k ORDER BY day)),
+      facts AS (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS DATE) AS day,
+        ['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW'][least(l_partkey % 9 + 1, 5)] AS k
+        FROM lineitem)
+    SELECT l_orderkey, l_linenumber, l_partkey, CAST(f.day AS TIMESTAMP) AS at, f.k AS k,
+      CASE WHEN v.following IS NULL OR f.day < v.following - CAST(v.n % 7 = 0 AS INTEGER)
+        THEN v.top_price END AS top_price
+    FROM facts f ASOF LEFT JOIN versions v ON f.k = v.k AND f.day >= v.day""",
+)
+def as_of_long_history(t: Roles) -> DataFrame:
+    days = t.table("orders").groupBy(
+        F.col("o_orderpriority").alias("k"), F.col("o_orderdate").cast("date").alias("day")
+    ).agg(F.max("o_totalprice").alias("top_price"))
+    of_key = Window.partitionBy("k").orderBy("day")
+    early = (F.row_number().over(of_key) % 7 == 0).cast("int")
+    versions = days.select(
+        "k",
+        "top_price",
+        F.col("day").cast("timestamp").alias("valid_from"),
+        F.date_sub(F.lead("day").over(of_key), early).cast("timestamp").alias("valid_to"),
+    )
+    names = F.array(*map(F.lit, ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]))
+    facts = t.table("lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        F.col("l_shipdate").cast("date").cast("timestamp").alias("at"),
+        F.element_at(names, F.least(F.col("l_partkey") % 9 + 1, F.lit(5)).cast("int")).alias("k"),
+    )
+    return scd2.scd2_as_of_by_time(facts, versions, "k", "at", ["top_price"])
+
+
 query(
     "t08_check_finds_breaches",
     """SELECT c_custkey, CAST(2 AS BIGINT) AS n_current, CAST(0 AS BIGINT) AS n_empty,

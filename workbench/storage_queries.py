@@ -516,6 +516,43 @@ def ops_wide_stored(t):
     return marts.ops_wide(orders, t.dim_customers, reviews)
 
 
+@query("t03_merged_closed_parts", customers_sql("FROM h_versions", "close"))
+def merged_closed_parts(t):
+    """Twelve runs, each with the changes of a twelfth of the keys, so that ten closed partitions
+    become one. Their times are set to that of the SQL's second run for the comparison."""
+    layout = fresh_layout(t)
+    history = scd2.HistoryTable(
+        t.spark,
+        layout.name("silver", "customer_history"),
+        layout.path("silver", "customer_history"),
+        CUSTOMER_KEYS,
+        CUSTOMER_TRACKED,
+    )
+    history.apply(t.customers_before, FIRST_RUN, deletes="close")
+    key, runs = F.col("c_custkey"), 12
+    start = datetime.datetime.fromisoformat(SECOND_RUN)
+    for done in range(1, runs + 1):
+        changed = F.pmod(F.xxhash64(key), F.lit(runs)) < done
+        state = t.customers_after.filter(changed).unionByName(t.customers_before.filter(~changed))
+        history.apply(state, start + datetime.timedelta(microseconds=done), deletes="close")
+    # In the SQL all changes come with one run.
+    second = F.lit(SECOND_RUN).cast("timestamp")
+
+    def at_once(column):
+        return F.when(F.col(column) > second, second).otherwise(F.col(column)).alias(column)
+
+    rows = history.history()
+    opened = F.col("valid_from") > second
+    new_id = F.sha2(F.concat(F.col("c_custkey").cast("string"), F.lit(f"||{SECOND_RUN}")), 256)
+    return rows.select(
+        *t.customers_before.columns,
+        at_once("valid_from"),
+        at_once("valid_to"),
+        "is_current",
+        F.when(opened, new_id).otherwise(F.col("scd_id")).alias("scd_id"),
+    )
+
+
 @query("u01_compact", over_marts("FROM m_sales_wide"))
 def compact(t):
     layout = fresh_layout(t)
