@@ -13,7 +13,7 @@ from unittest import mock
 from pyspark.sql import DataFrame, functions as F
 
 from stratalake.config import Layout, scratch_dir
-from stratalake.operators import aggregates, scd2
+from stratalake.operators import aggregates, gates, scd2
 from stratalake.plans import backfill as backfills, checks, marts, medallion, publish, silver
 from stratalake.sources import tables
 from stratalake.sources.commits import new_load
@@ -553,6 +553,47 @@ def merged_closed_parts(t):
     )
 
 
+@query(
+    "t08_q08_history_gate",
+    customers_sql(
+        """SELECT table_name, check_name, column_name, CAST(n AS BIGINT) AS observed, CAST(n AS BIGINT) AS n_fail,
+        'PASS' AS status, CAST(0 AS BIGINT) AS breaches, 2 AS n_scanned
+        FROM (SELECT count(*) FILTER (scd_id IS NULL) AS no_id, count(*) FILTER (c_custkey IS NULL) AS no_key,
+            count(*) FILTER (valid_from IS NULL) AS no_start, count(*) FILTER (is_current IS NULL) AS no_flag,
+            count(*) FILTER (c_name IS NULL) AS no_name, count(scd_id) - count(DISTINCT scd_id) AS twice
+          FROM h_versions),
+        LATERAL (VALUES ('dim_customers_history', 'not_null', 'scd_id', no_id),
+          ('dim_customers_history', 'not_null', 'customer_id', no_key),
+          ('dim_customers_history', 'not_null', 'valid_from', no_start),
+          ('dim_customers_history', 'not_null', 'is_current', no_flag),
+          ('dim_customers_history', 'accepted_values', 'is_current', 0),
+          ('dim_customers_history', 'unique', 'scd_id', twice),
+          ('dim_customers_scd2', 'not_null', 'customer_id', no_key),
+          ('dim_customers_scd2', 'not_null', 'customer_unique_id', no_name),
+          ('dim_customers_scd2', 'not_null', 'valid_from', no_start),
+          ('dim_customers_scd2', 'not_null', 'is_current', no_flag),
+          ('dim_customers_scd2', 'accepted_values', 'is_current', 0)) v(table_name, check_name, column_name, n)""",
+        "close",
+    ),
+)
+def history_gate(t):
+    """The declared checks of the customers' history after its second run, which reads the open
+    versions and those that the run closed."""
+    layout = fresh_layout(t)
+    renamed = {"c_custkey": "customer_id", "c_name": "customer_unique_id"}
+    history = scd2.HistoryTable(
+        t.spark, layout.name("silver", "h"), layout.path("silver", "h"), ["customer_id"], CUSTOMER_TRACKED
+    )
+    suite = [c for c in checks.HISTORY_CHECKS + checks.HISTORY_VIEW_CHECKS if "customers" in c.table]
+    gate = gates.HistoryGate(history, suite)
+    for state, run in ((t.customers_before, FIRST_RUN), (t.customers_after, SECOND_RUN)):
+        history.apply(state.withColumnsRenamed(renamed), run, deletes="close")
+        report = gate.check()
+    return report.results.withColumns(
+        {"breaches": F.lit(report.breaches).cast("bigint"), "n_scanned": F.lit(len(report.scanned))}
+    )
+
+
 @query("u01_compact", over_marts("FROM m_sales_wide"))
 def compact(t):
     layout = fresh_layout(t)
