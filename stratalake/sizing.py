@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 # a partition well within the memory of a task.
 INPUT_BYTES_PER_PARTITION = 64 << 20
 
+# Stored input per bucket of facts. A bucket is one task, which nothing splits, and the marts sort or
+# group its rows: they then take twenty times and more what they take in a columnar file.
+INPUT_BYTES_PER_BUCKET = 8 << 20
+
 # Spark's stand-in for "size unknown" is the largest long.
 UNKNOWN_BYTES = 1 << 62
 
@@ -56,8 +60,16 @@ def fit_session_to(spark: SparkSession, size: int) -> None:
         spark.conf.set("spark.sql.shuffle.partitions", str(needed))
 
 
-def bucket_count(sizes: list[int]) -> int:
+def bucket_count(sizes: list[int], per_bucket: int = INPUT_BYTES_PER_PARTITION) -> int:
     """Buckets for tables that are joined by one key: a power of two, so that it seldom changes, by
     the largest of their sizes."""
     largest = max(sizes, default=0)
-    return 1 << max(0, math.ceil(math.log2(max(1, largest / INPUT_BYTES_PER_PARTITION))))
+    return 1 << max(0, math.ceil(math.log2(max(1, largest / per_bucket))))
+
+
+def fact_buckets(spark: SparkSession, sizes: list[int], least: int = 1) -> int:
+    """Buckets for facts of these stored sizes, so small that a task holds one in memory; at least
+    ``least``, and no more than the session lets a table have."""
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    wanted = max(least, bucket_count(sizes, INPUT_BYTES_PER_BUCKET))
+    return min(wanted, 1 << (most.bit_length() - 1))

@@ -17,6 +17,8 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from stratalake.sizing import INPUT_BYTES_PER_BUCKET
+
 
 # The partition of a table of loads.
 LOAD = "_load"
@@ -87,7 +89,7 @@ class Buckets:
 # A bucket is read by one task, which nothing splits. Beyond this many times the mean size, and
 # this size, the buckets are not declared, and readers shuffle as for any other table.
 LARGEST_BUCKET = 4
-SMALL_BUCKET_BYTES = 256 << 20
+SMALL_BUCKET_BYTES = 4 * INPUT_BYTES_PER_BUCKET
 
 _BUCKET_OF_FILE = re.compile(r"_(\d+)(?:\.c\d+)?\.")
 

@@ -3,9 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from stratalake import sizing
 from stratalake.plans import marts
 from stratalake.sizing import bucket_count
 from stratalake.sources import commits, tables
+from workbench import storage_queries
+from workbench.bindings import Roles
 
 
 @pytest.fixture
@@ -125,3 +128,25 @@ def test_sizes_of_committed_loads(spark, layout):
     assert commits.stored_bytes(spark, name) == one > 0
     log.append(manifest, second, "b2")
     assert commits.stored_bytes(spark, name) > one
+
+
+def test_facts_get_buckets_that_a_task_holds(spark, monkeypatch):
+    """Stored facts of 3 GB would be 64 buckets by the size of a shuffle partition."""
+    monkeypatch.setattr(sizing, "INPUT_BYTES_PER_BUCKET", 8 << 20)
+    assert sizing.fact_buckets(spark, [3 << 30, 1]) == 512
+    assert sizing.fact_buckets(spark, [65 << 20]) == 16
+    assert sizing.fact_buckets(spark, [1]) == 1
+    assert sizing.fact_buckets(spark, [1], least=8) == 8
+    # No more than a table may have.
+    assert sizing.fact_buckets(spark, [100 << 40]) == 1 << 16
+
+
+def test_queries_on_stored_facts_size_their_buckets(spark, layout, monkeypatch):
+    roles = Roles(spark, "/root/testdata/sf0.001")
+    storage_queries._by_order(roles, layout)
+    names = [layout.name("silver", f) for f in storage_queries.medallion.FACTS_BY_ORDER]
+    assert {tables.table_buckets(spark, n).n for n in names} == {8}
+    monkeypatch.setattr(sizing, "INPUT_BYTES_PER_BUCKET", sizing.input_bytes(roles.items) // 30)
+    rows = [f.count() for f in storage_queries._by_order(roles, layout)]
+    assert {tables.table_buckets(spark, n).n for n in names} == {32}
+    assert rows == [getattr(roles, f).count() for f in storage_queries.medallion.FACTS_BY_ORDER]

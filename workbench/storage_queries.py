@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from stratalake.config import Layout, scratch_dir
 from stratalake.operators import aggregates, gates, scd2
 from stratalake.plans import backfill as backfills, checks, marts, medallion, publish, silver
+from stratalake.sizing import fact_buckets, input_bytes
 from stratalake.sources import tables
 from stratalake.sources.commits import new_load
 from stratalake.sources.csv_files import (
@@ -484,11 +485,12 @@ def history_table(t):
 
 
 def _by_order(t, layout, n=8):
-    """The facts as the run stores them, with as many buckets."""
-    buckets = tables.Buckets("order_id", n)
-    for fact in medallion.FACTS_BY_ORDER:
-        name, path = layout.name("silver", fact), layout.path("silver", fact)
-        tables.replace_bucketed(getattr(t, fact), name, path, buckets)
+    """The facts as the run stores them, in buckets by their size but at least ``n``."""
+    facts = {fact: getattr(t, fact) for fact in medallion.FACTS_BY_ORDER}
+    sizes = [input_bytes(df) for df in facts.values()]
+    buckets = tables.Buckets("order_id", fact_buckets(t.spark, sizes, n))
+    for fact, df in facts.items():
+        tables.replace_bucketed(df, layout.name("silver", fact), layout.path("silver", fact), buckets)
     return [layout.table(t.spark, "silver", fact) for fact in medallion.FACTS_BY_ORDER]
 
 
