@@ -1,14 +1,17 @@
 """Facts stored by order: what the marts' plans look like, and when buckets are given up."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
 from stratalake import sizing
-from stratalake.plans import marts
+from stratalake.plans import marts, medallion
 from stratalake.sizing import bucket_count
 from stratalake.sources import commits, tables
 from workbench import storage_queries
 from workbench.bindings import Roles
+from workbench.quality_queries import raw_tables
 
 
 @pytest.fixture
@@ -144,9 +147,18 @@ def test_facts_get_buckets_that_a_task_holds(spark, monkeypatch):
 def test_queries_on_stored_facts_size_their_buckets(spark, layout, monkeypatch):
     roles = Roles(spark, "/root/testdata/sf0.001")
     storage_queries._by_order(roles, layout)
-    names = [layout.name("silver", f) for f in storage_queries.medallion.FACTS_BY_ORDER]
+    names = [layout.name("silver", f) for f in medallion.FACTS_BY_ORDER]
     assert {tables.table_buckets(spark, n).n for n in names} == {8}
     monkeypatch.setattr(sizing, "INPUT_BYTES_PER_BUCKET", sizing.input_bytes(roles.items) // 30)
     rows = [f.count() for f in storage_queries._by_order(roles, layout)]
     assert {tables.table_buckets(spark, n).n for n in names} == {32}
-    assert rows == [getattr(roles, f).count() for f in storage_queries.medallion.FACTS_BY_ORDER]
+    assert rows == [getattr(roles, f).count() for f in medallion.FACTS_BY_ORDER]
+
+
+def test_the_run_stores_facts_in_buckets_that_a_task_holds(spark, monkeypatch):
+    raw, seen = raw_tables(Roles(spark, "/root/testdata/sf0.001")), {}
+    monkeypatch.setattr(medallion, "stored_bytes", lambda *_: 65 << 20)
+    monkeypatch.setattr(medallion, "_write", lambda *args: seen.update(args[-1]))
+    layout = SimpleNamespace(table=lambda _, layer, table: raw[table], name=lambda layer, table: table)
+    medallion.build_silver(spark, SimpleNamespace(layout=layout))
+    assert {b.n for b in seen.values()} == {16}
