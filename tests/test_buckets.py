@@ -1,5 +1,7 @@
 """Facts stored by order: what the marts' plans look like, and when buckets are given up."""
 
+import threading
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -162,3 +164,40 @@ def test_the_run_stores_facts_in_buckets_that_a_task_holds(spark, monkeypatch):
     layout = SimpleNamespace(table=lambda _, layer, table: raw[table], name=lambda layer, table: table)
     medallion.build_silver(spark, SimpleNamespace(layout=layout))
     assert {b.n for b in seen.values()} == {16}
+
+
+def test_tables_of_fact_grain_are_written_one_after_another(spark, layout, monkeypatch):
+    """Each crosses a shuffle as a whole, and together their shuffle files would be on disk at once."""
+    lock, now, seen = threading.Lock(), [], []
+
+    def watched(write):
+        def slow(df, name, *args, **options):
+            with lock:
+                now.append(name.split(".")[1])
+                seen.append(list(now))
+            time.sleep(0.3)
+            try:
+                return write(df, name, *args, **options)
+            finally:
+                with lock:
+                    now.remove(name.split(".")[1])
+
+        return slow
+
+    for f in ("replace_table", "replace_bucketed"):
+        monkeypatch.setattr(medallion, f, watched(getattr(medallion, f)))
+    cfg = SimpleNamespace(layout=layout, optimize=True, parallel=4)
+    facts = {t: spark.range(50).withColumnRenamed("id", "order_id") for t in medallion.FACTS_BY_ORDER}
+    models = {"dim_products": spark.range(3), **facts, "dim_sellers": spark.range(2)}
+    by_order = dict.fromkeys(facts, tables.Buckets("order_id", 2))
+    written = medallion._write(spark, cfg, "silver", models, by_order)
+    assert {t: df.count() for t, df in written.items()} == {"dim_products": 3, **dict.fromkeys(facts, 50), "dim_sellers": 2}
+    day = "DATE '2024-01-01' + CAST(id AS INT) AS order_date"
+    wide = {t: spark.range(9).selectExpr(day) for t in ("mart_sales_daily", "mart_ops_wide", "mart_sales_wide")}
+    assert [df.count() for df in medallion._write(spark, cfg, "gold", wide).values()] == [9, 9, 9]
+    assert max(len(set(s) & set(medallion.FACT_GRAIN)) for s in seen) == 1
+    # The others do not wait for them.
+    assert max(len(s) for s in seen) > 1
+    folder = layout.path("gold", "mart_sales_wide")
+    files = tables.list_dir(spark, f"{folder}/{tables.list_dir(spark, folder)[0]}")
+    assert [f for f in files if f.endswith(".parquet")] == [f for f in files if f.endswith(".zstd.parquet")] != []

@@ -1,8 +1,11 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from stratalake import sizing
 from stratalake.config import SESSION_SETTINGS, apply_session_settings
+from stratalake.sources import tables
 
 WIDTH = "spark.sql.shuffle.partitions"
 
@@ -55,3 +58,31 @@ def test_session_settings(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_shuffle_files_go_with_their_job(spark, layout):
+    """Otherwise they stay until the driver collects its garbage, as much as all shuffles of a run."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        found = blocks.getAllBlocks()
+        names = [found.apply(k).name() for k in range(found.size())]
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = {k: spark.conf.get(k) for k in SESSION_SETTINGS}
+    try:
+        apply_session_settings(spark)
+        known = shuffled()
+        df = spark.range(1000).withColumn("k", F.col("id") % 7)
+        tables.replace_bucketed(df, layout.name("silver", "t"), layout.path("silver", "t"), tables.Buckets("k", 4))
+        tables.replace_table(df.repartition(3, "k"), layout.name("gold", "t"), layout.path("gold", "t"))
+        end = time.time() + 20
+        while shuffled() - known and time.time() < end:
+            time.sleep(0.2)
+        assert not shuffled() - known
+        # What is run once more is shuffled again.
+        counted = spark.table(layout.name("gold", "t")).groupBy("k").count()
+        assert sorted(counted.collect()) == sorted(counted.collect())
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
